@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from kinelake.functions import hashing, vectors
 from kinelake.operators import asof, ledger, quality, stats
 from kinelake.operators import trajectories as tr
-from kinelake.session import table
+from kinelake.session import cut_lineage, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -155,7 +155,7 @@ def duplicate_of(spark: SparkSession, d: str) -> DataFrame:
     return ledger.first_occurrence(table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("h")), "doc_id", "h")
 
 
-@query(f"""WITH {STEPS}, {EPISODES}, t AS (SELECT episode_key, list(struct_pack(frame_index, step_time, state, action) ORDER BY frame_index) AS l FROM st GROUP BY 1),
+@query(f"""WITH {STEPS}, {EPISODES}, t AS (SELECT episode_key, list(struct_pack(frame_index, step_time, state, action) ORDER BY frame_index)::VARCHAR AS l FROM st GROUP BY 1),
 e AS (SELECT episode_key, min(episode_key) OVER (PARTITION BY embodiment, l) AS f FROM t JOIN ep USING (episode_key)) SELECT episode_key, nullif(f, episode_key) AS duplicate_of FROM e""")
 def trajectory_duplicates(spark: SparkSession, d: str) -> DataFrame:
     prints = ledger.trajectory_fingerprints(steps_of(spark, d), episodes_of(spark, d))
@@ -239,7 +239,7 @@ def stats_dim(spark: SparkSession, d: str) -> DataFrame:
 
 ACCEPTED_SQL = f"""{QUALITY_SQL}, {ANCHORS.replace('an AS', 'an0 AS')}, {THIN.format(m=64).replace('kept AS', 'an AS').replace('FROM an)', 'FROM an0)')}, {ALIGN},
 med AS (SELECT episode_key, count(reason) = 0 AS media_ok FROM alr GROUP BY 1),
-fpr AS (SELECT episode_key, list(struct_pack(frame_index, step_time, state, action) ORDER BY frame_index) AS l FROM st GROUP BY 1),
+fpr AS (SELECT episode_key, list(struct_pack(frame_index, step_time, state, action) ORDER BY frame_index)::VARCHAR AS l FROM st GROUP BY 1),
 led0 AS (SELECT q.episode_key, q.source_id, q.origin_group, q.embodiment, q.errors = '' AS ok, coalesce(media_ok, false) AS media_ok, l, coalesce(batch_no, 2147483647) AS bn, episode_id, fps, success, s_most, a_most, state_names, action_names FROM qual q LEFT JOIN med USING (episode_key) LEFT JOIN fpr USING (episode_key)),
 led1 AS (SELECT *, row_number() OVER (ORDER BY bn, episode_key) AS ord FROM led0),
 led2 AS (SELECT *, min(CASE WHEN ok AND media_ok THEN ord END) OVER (PARTITION BY embodiment, l) AS a FROM led1),
@@ -267,13 +267,13 @@ def compact_ledger(spark: SparkSession, d: str) -> DataFrame:
 
 def accepted_episodes(spark: SparkSession, d: str) -> DataFrame:
     """episode_key, source_id, episode_id, split of the accepted episodes."""
-    led = ledger.decide(compact_ledger(spark, d)).where("outcome = 'accepted'").select("episode_key")
-    return episodes_of(spark, d).join(led, "episode_key", "left_semi").select("episode_key", "source_id", "episode_id", "embodiment", "fps", hashing.split_of(F.col("origin_group")).alias("split"))
+    led = ledger.decide(cut_lineage(compact_ledger(spark, d))).where("outcome = 'accepted'").select("episode_key")
+    return cut_lineage(episodes_of(spark, d).join(led, "episode_key", "left_semi").select("episode_key", "source_id", "episode_id", "embodiment", "fps", hashing.split_of(F.col("origin_group")).alias("split")))
 
 
 @query(f"WITH {ACCEPTED_SQL} SELECT episode_key, outcome, stage FROM led")
 def episode_ledger(spark: SparkSession, d: str) -> DataFrame:
-    return ledger.decide(compact_ledger(spark, d)).select("episode_key", "outcome", "stage")
+    return ledger.decide(cut_lineage(compact_ledger(spark, d))).select("episode_key", "outcome", "stage")
 
 
 STATS_SQL = """tv AS (SELECT acc.source_id, split, st.* EXCLUDE (source_id) FROM st JOIN acc USING (episode_key)),

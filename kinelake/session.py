@@ -6,8 +6,10 @@ from ``spark.checkpoint.dir`` and only set where it is unset (local tests).
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,9 +47,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back from there."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once as a table in the shared checkpoint folder and read it back from there.
+
+    Unlike a checkpoint this computes the last stage once, and later plans know the
+    table's size. The folder belongs to the application and goes when Python ends.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _written.append((spark, path))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_written: list[tuple[SparkSession, str]] = []
+
+
+@atexit.register
+def _remove_written() -> None:
+    for spark, path in _written:
+        try:
+            jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+            jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+        except Exception:  # the session may have ended before
+            return
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
