@@ -181,7 +181,7 @@ class KernelModel:
 
 
 def train(documents: DataFrame, seed: int = 5, per_language: int = TRAIN_DOCUMENTS, most_sentences: int = TRAIN_SENTENCES) -> KernelModel | None:
-    """Fit on a bounded sample of labelled documents; sentences that a first fit puts elsewhere are left out of the second.
+    """Fit on a bounded sample of labelled documents, without sentences that a fit to the other folds puts elsewhere.
 
     The sample takes, per language, about ``per_language`` documents by a hash of
     the doc_id, and of their sentences at most ``most_sentences``, spread evenly.
@@ -206,11 +206,16 @@ def train(documents: DataFrame, seed: int = 5, per_language: int = TRAIN_DOCUMEN
         labels += [c] * len(pick)
     if len(set(labels)) < 2:
         return None
-    model = KernelModel(texts, labels, len(LANGUAGES), landmarks=LANDMARKS // 2)
-    for _ in range(2):
-        keep = np.argmax(model.scores(texts), 1) == np.asarray(labels)
-        model = KernelModel([t for t, k in zip(texts, keep, strict=True) if k], [c for c, k in zip(labels, keep, strict=True) if k], len(LANGUAGES))
-    return model
+    fold = rng.integers(0, 3, len(texts))
+    label = np.asarray(labels)
+    keep = np.zeros(len(texts), bool)
+    for k in range(3):  # wrong labels are seen by models that were not fitted to them
+        model = KernelModel([t for t, f in zip(texts, fold, strict=True) if f != k], label[fold != k].tolist(), len(LANGUAGES), landmarks=LANDMARKS // 2)
+        held = np.flatnonzero(fold == k)
+        keep[held] = np.argmax(model.scores([texts[i] for i in held]), 1) == label[held]
+    if len(set(label[keep])) < 2:
+        keep[:] = True
+    return KernelModel([t for t, k in zip(texts, keep, strict=True) if k], label[keep].tolist(), len(LANGUAGES))
 
 
 def segment_units(units: list[tuple[int, int, str, bool]], logp: np.ndarray) -> list[tuple[int, int, int, float]]:
