@@ -34,7 +34,7 @@ FOUND_SCHEMA = "episode_key bigint, frame_index bigint, field string, dim int, k
 def _keyed(steps: DataFrame, chunk: int) -> DataFrame:
     """Steps by (episode, chunk of frames) with their halo; a series' order is frame_index."""
     c = F.col("frame_index")
-    parts = F.array_distinct(F.array(F.floor((c - HALO) / chunk), F.floor(c / chunk), F.floor((c + HALO) / chunk)))
+    parts = F.array_distinct(F.array(F.floor(F.greatest(c - HALO, F.least(c, F.lit(0))) / chunk), F.floor(c / chunk), F.floor((c + HALO) / chunk)))
     rows = steps.where(F.col("episode_key").isNotNull() & c.isNotNull()).select("source_id", "episode_key", "frame_index", "state", "action", F.explode(parts).alias("chunk"))
     return rows.repartition("episode_key", "chunk").sortWithinPartitions("episode_key", "chunk", "frame_index")
 
