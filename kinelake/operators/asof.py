@@ -19,7 +19,7 @@ def asof_backward(events: DataFrame, records: DataFrame, keys: list[str], at: st
     comes from a table with one row per block, so no key is gathered in one task.
     Events with a null key or time are kept, with null; null record times never match.
     """
-    rec = records.where(is_finite(F.col(record_time))).select(*keys, F.col(record_time).alias("_t")).withColumn("_b", F.floor(F.col("_t") / block)).distinct()
+    rec = records.na.drop(subset=keys).where(is_finite(F.col(record_time))).select(*keys, F.col(record_time).alias("_t")).withColumn("_b", F.floor(F.col("_t") / block)).distinct()
     ev = events.withColumn("_b", F.floor(F.col(at) / block))
     ends = rec.groupBy(*keys, "_b").agg(F.max("_t").alias("_end"))
     asked = ev.where(is_finite(F.col(at))).select(*keys, "_b").distinct()

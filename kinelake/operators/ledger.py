@@ -69,7 +69,7 @@ def decide(compact: DataFrame) -> DataFrame:
             out.insert(0, "ord", rows["ord"].to_numpy())
             return out
 
-        return compact.groupBy(F.lit(1)).applyInPandas(run, LEDGER)
+        return compact.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(run, LEDGER)
     first = clean.where("media_ok").groupBy("fingerprint").agg(F.min(F.struct("ord", "episode_key")).alias("first"))
     e = compact.join(first, "fingerprint", "left")
     at = F.col("first.ord")

@@ -24,7 +24,7 @@ def blocked(df: DataFrame, before: int = 0, after: int = 0, order: str = "frame_
     length spreads over many tasks.
     """
     o = F.col(order)
-    parts = F.array_distinct(F.array(F.floor(F.greatest(o - after, F.least(o, F.lit(0))) / size), F.floor(o / size), F.floor((o + before) / size)))
+    parts = F.sequence(F.floor(F.greatest(o - after, F.least(o, F.lit(0))) / size), F.floor((o + before) / size))
     return df.withColumn("block", F.explode(parts)).withColumn("own", F.floor(o / size) == F.col("block"))
 
 
