@@ -23,7 +23,7 @@ from kinelake.session import change_points, column, padded, vectors, whole_group
 #: Rows of one chunk of an episode, and rows of context on each side.
 CHUNK, HALO = 4096, 16
 #: A spike stands off by this many robust standard deviations of the source's autoregression residual.
-SIGMAS = 12.0
+SIGMAS = 15.0
 #: The level after a spike differs from the one before by at most this share of the spike.
 RETURN = 0.5
 STUCK, LONGEST = 8, 3
@@ -73,27 +73,39 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             d2 = np.where(run[:, None], y - 2 * a + b, np.nan)
             bad = ~np.isfinite(d2)
             mag = np.where(bad, np.inf, np.abs(d2))
+            med = _group_median(mag, group[2:], s["starts"])
+            w = np.where(bad, 0.0, np.where(mag == 0, 1.0, np.minimum(1.0, (2.5 * 1.4826 * med / np.maximum(mag, 1e-300)) ** 2)))
+            yy, aa, bb = (np.where(bad, 0.0, v) for v in (y, a, b))
+            cells = np.stack([w, w * aa * aa, w * aa * bb, w * bb * bb, w * yy * aa, w * yy * bb, w * yy * yy], 2)
             src = s["tbl"].column("source_id").combine_chunks().dictionary_encode()
             src = src.chunk(0) if isinstance(src, pa.ChunkedArray) else src
-            code = src.indices.fill_null(-1).to_numpy(zero_copy_only=False)[2:]
-            for k, name in enumerate(src.dictionary.to_pylist()):
+            code = src.indices.fill_null(len(src.dictionary)).to_numpy(zero_copy_only=False)[2:]
+            for k, name in enumerate([*src.dictionary.to_pylist(), None]):
                 rows = code == k
-                m = np.sort(mag[rows], axis=0)
-                n = np.isfinite(m).sum(0)
-                med = 1.4826 * np.take_along_axis(m, np.maximum(n - 1, 0)[None, :] // 2, axis=0)[0]
-                w = np.where(bad[rows], 0.0, np.minimum(1.0, (2.5 * med / np.maximum(mag[rows], 1e-300)) ** 2))
-                w = np.where(mag[rows] == 0, np.where(bad[rows], 0.0, 1.0), w)
-                yy, aa, bb = (np.where(bad[rows], 0.0, v[rows]) for v in (y, a, b))
-                got = np.stack([w.sum(0), (w * aa * aa).sum(0), (w * aa * bb).sum(0), (w * bb * bb).sum(0), (w * yy * aa).sum(0), (w * yy * bb).sum(0), (w * yy * yy).sum(0)], 1)
-                for c in np.flatnonzero(n > 0):
-                    channel = int(c) if c < s["actions_at"] else 1000 + int(c) - s["actions_at"]
-                    sums[name, channel] = sums.get((name, channel), 0) + got[c]
+                if rows.any():
+                    got = cells[rows].sum(0)
+                    for c in np.flatnonzero(got[:, 0] > 0):
+                        channel = int(c) if c < s["actions_at"] else 1000 + int(c) - s["actions_at"]
+                        sums[name, channel] = sums.get((name, channel), 0) + got[c]
     if sums:
         keys = list(sums)
         cols = np.array([sums[k] for k in keys])
         yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()), *(pa.array(cols[:, i]) for i in range(7))], names=["source_id", "channel", "w", "s11", "s12", "s22", "sy1", "sy2", "syy"])
 
 
+def _group_median(x: np.ndarray, group: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Each row's median of its group and column over the finite values; so weights depend on the series alone."""
+    out = np.empty_like(x)
+    first = np.searchsorted(group, np.arange(len(starts)))
+    for c in range(x.shape[1]):
+        order = np.lexsort((x[:, c], group))
+        n = np.add.reduceat(np.append(np.isfinite(x[:, c]), False).astype(np.int64), np.minimum(first, len(x)))
+        n[np.append(np.diff(first), len(x) - first[-1]) == 0] = 0
+        at = np.minimum(first + np.maximum(n - 1, 0) // 2, len(x) - 1)
+        out[:, c] = np.where(n > 0, x[order[at], c], 0.0)[group]
+    return out
+
+
 def autoregression(keyed: DataFrame) -> DataFrame:
     """Per source: its channels' AR(2) coefficients and residual scale as a map channel -> (phi1, phi2, sigma)."""
     sums = keyed.mapInArrow(_fit, FIT_SCHEMA).groupBy("source_id", "channel").agg(*(F.sum(c).alias(c) for c in ("w", "s11", "s12", "s22", "sy1", "sy2", "syy")))
