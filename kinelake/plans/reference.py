@@ -248,9 +248,14 @@ led AS (SELECT x.* EXCLUDE (l), CASE WHEN ok AND x.ord = a THEN 'accepted' WHEN
 acc AS (SELECT *, {SPLIT.format(g='origin_group')} AS split FROM led WHERE outcome = 'accepted')"""
 
 
-def compact_ledger(spark: SparkSession, d: str) -> DataFrame:
+def clean_steps(spark: SparkSession, d: str) -> DataFrame:
+    """Steps once each, written: five operators of a release read them, none should remove repeats again."""
+    return cut_lineage(steps_of(spark, d).select("source_id", "episode_key", "frame_index", "step_time", "state", "action", "language"))
+
+
+def compact_ledger(spark: SparkSession, d: str, st: DataFrame) -> DataFrame:
     """One row per episode with what the ledger needs."""
-    st, ep = steps_of(spark, d), episodes_of(spark, d)
+    ep = cut_lineage(episodes_of(spark, d))
     q = quality.quality_report(st, ep, table(spark, d, "frames"))
     a = tr.anchors(st.select("episode_key", "frame_index", "step_time"))
     media = asof.align_frames(a, ep, table(spark, d, "frames")).groupBy("episode_key").agg((F.count("reason") == 0).alias("media_ok"))
@@ -265,15 +270,15 @@ def compact_ledger(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def accepted_episodes(spark: SparkSession, d: str) -> DataFrame:
+def accepted_episodes(spark: SparkSession, d: str, st: DataFrame) -> DataFrame:
     """episode_key, source_id, episode_id, split of the accepted episodes."""
-    led = ledger.decide(cut_lineage(compact_ledger(spark, d))).where("outcome = 'accepted'").select("episode_key")
+    led = ledger.decide(cut_lineage(compact_ledger(spark, d, st))).where("outcome = 'accepted'").select("episode_key")
     return cut_lineage(episodes_of(spark, d).join(led, "episode_key", "left_semi").select("episode_key", "source_id", "episode_id", "embodiment", "fps", hashing.split_of(F.col("origin_group")).alias("split")))
 
 
 @query(f"WITH {ACCEPTED_SQL} SELECT episode_key, outcome, stage FROM led")
 def episode_ledger(spark: SparkSession, d: str) -> DataFrame:
-    return ledger.decide(cut_lineage(compact_ledger(spark, d))).select("episode_key", "outcome", "stage")
+    return ledger.decide(cut_lineage(compact_ledger(spark, d, clean_steps(spark, d)))).select("episode_key", "outcome", "stage")
 
 
 STATS_SQL = """tv AS (SELECT acc.source_id, split, st.* EXCLUDE (source_id) FROM st JOIN acc USING (episode_key)),
@@ -284,8 +289,9 @@ sts AS (SELECT source_id, kind, dim, avg(v) AS mean, greatest(stddev_pop(v), 1e-
 
 @query(f"WITH {ACCEPTED_SQL}, {STATS_SQL} SELECT source_id, kind, dim, round(mean, 4) AS mean, round(std, 4) AS std, n AS \"count\" FROM sts")
 def stats_train_only(spark: SparkSession, d: str) -> DataFrame:
-    acc = accepted_episodes(spark, d).where("split = 'train'")
-    v = steps_of(spark, d).select("episode_key", "state", "action").join(acc, "episode_key")
+    st = clean_steps(spark, d)
+    acc = accepted_episodes(spark, d, st).where("split = 'train'")
+    v = st.select("episode_key", "state", "action").join(acc, "episode_key")
     return stats.channel_stats(v, "source_id", ["state", "action"]).select("source_id", "kind", "dim", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"), "count")
 
 
@@ -319,8 +325,9 @@ sz AS (SELECT episode_key, frame_index, sum((v - mean) / std) AS s FROM sc JOIN
 SELECT c2.episode_key, c2.frame_index AS anchor_index, any_value(src) AS source_id, any_value(split) AS split, round(sum((v - mean) / std), 2) AS actions, round(any_value(sz.s), 2) AS state, any_value(valid) AS valid
 FROM c2 JOIN sts ON sts.source_id = c2.src AND kind = 'action' AND sts.dim = c2.dim JOIN sz ON sz.episode_key = c2.episode_key AND sz.frame_index = c2.frame_index GROUP BY 1, 2""")
 def windows_normalized(spark: SparkSession, d: str) -> DataFrame:
-    acc = accepted_episodes(spark, d)
-    st = steps_of(spark, d).select("episode_key", "frame_index", "step_time", "state", "action", "language").join(acc.select("episode_key"), "episode_key", "left_semi")
+    every = clean_steps(spark, d)
+    acc = accepted_episodes(spark, d, every)
+    st = every.drop("source_id").join(acc.select("episode_key"), "episode_key", "left_semi")
     w = stats.training_windows(st, acc)
     total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
     return w.select("episode_key", "anchor_index", "source_id", "split", F.round(total(F.flatten("actions").cast("array<double>")), 2).alias("actions"), F.round(total(F.col("state").cast("array<double>")), 2).alias("state"), F.size(F.filter("action_mask", lambda m: m[0])).alias("valid"))
@@ -328,14 +335,15 @@ def windows_normalized(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {ACCEPTED_SQL}, n AS (SELECT source_id, count(*) AS accepted, count(*) FILTER (split = 'train') AS train FROM acc GROUP BY 1) SELECT s.source_id, coalesce(accepted, 0) AS accepted, coalesce(train, 0) AS train, CASE WHEN accepted IS NULL THEN 'no_eligible_episodes' WHEN train = 0 THEN 'no_train_split' ELSE 'interface_smoke_only' END AS view_status FROM (SELECT DISTINCT source_id FROM sources) s LEFT JOIN n USING (source_id)")
 def no_train_split_status(spark: SparkSession, d: str) -> DataFrame:
-    return stats.view_status(accepted_episodes(spark, d), table(spark, d, "sources"))
+    return stats.view_status(accepted_episodes(spark, d, clean_steps(spark, d)), table(spark, d, "sources"))
 
 
 @query(f"WITH {ACCEPTED_SQL} SELECT source_id, split, count(*) AS episodes, sum(frames) AS frames, sum(windows) AS windows FROM acc JOIN (SELECT episode_key, count(*) AS windows, any_value(frames) AS frames FROM an GROUP BY 1) USING (episode_key) GROUP BY ROLLUP (source_id, split)")
 def source_report(spark: SparkSession, d: str) -> DataFrame:
     """Accepted episodes, frames and windows by source and split, with subtotals."""
-    w = tr.anchors(steps_of(spark, d).select("episode_key", "frame_index")).groupBy("episode_key").agg(F.first("frames").alias("frames"), F.count(F.lit(1)).alias("windows"))
-    return accepted_episodes(spark, d).join(w, "episode_key").rollup("source_id", "split").agg(F.count(F.lit(1)).alias("episodes"), F.sum("frames").alias("frames"), F.sum("windows").alias("windows"))
+    st = clean_steps(spark, d)
+    w = tr.anchors(st.select("episode_key", "frame_index")).groupBy("episode_key").agg(F.first("frames").alias("frames"), F.count(F.lit(1)).alias("windows"))
+    return accepted_episodes(spark, d, st).join(w, "episode_key").rollup("source_id", "split").agg(F.count(F.lit(1)).alias("episodes"), F.sum("frames").alias("frames"), F.sum("windows").alias("windows"))
 
 
 @query(f"WITH {STEPS}, {EPISODES}, {ANCHORS}, w AS (SELECT an.episode_key, an.frame_index AS anchor_index, ep.source_id, {SPLIT.format(g='origin_group')} AS split, ep.episode_id FROM an JOIN ep USING (episode_key) WHERE origin_group IS NOT NULL) SELECT episode_key, anchor_index, row_number() OVER (PARTITION BY source_id, split ORDER BY episode_id, anchor_index) - 1 AS row_address FROM w")

@@ -73,6 +73,12 @@ def _remove_written() -> None:
             return
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where the input has fewer splits than that; else as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A Parquet table of a data folder, one file or a folder of files."""
     return spark.read.parquet(os.path.join(folder, f"{name}.parquet"))
