@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinelake.session import cut_lineage
+from kinelake.session import spread
 
 LANGUAGES = ["de", "en", "es", "fr", "pt", "zh"]
 #: Three-letter codes and English names of the languages.
@@ -38,6 +38,7 @@ MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x
 END = re.compile(r"[.!?]+[\"'”»)\]]*(?=\s|$)|[。！？]+[\"'”»)\]]*")
 QUOTED = re.compile(r"\"[^\"\n]{0,80}\"|“[^”\n]{0,80}”|«[^»\n]{0,80}»|„[^“”\n]{0,80}[“”]|\[[^\]\n]{0,80}\]|\([^)\n]{0,80}\)")
 IDENTIFIER = re.compile(r"[^\s。，！？、；：㐀-鿿]*[0-9_#=/\\@][^\s。，！？、；：㐀-鿿]*")
+OPENING, MARK = re.compile(r"[\"“«„\[(]"), re.compile(r"[0-9_#=/\\@]")
 HAN = re.compile(r"[㐀-鿿]")
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -68,9 +69,12 @@ def sentences(text: str) -> list[tuple[int, int, str, bool]]:
         for e in cuts:
             raw = line[s:e]
             if raw.strip():
-                plain = " ".join(IDENTIFIER.sub(" ", QUOTED.sub(" ", raw)).lower().split())
-                han = len(HAN.findall(plain))
-                words = [w for w in WORD.findall(plain) if not HAN.match(w)]
+                bare = QUOTED.sub(" ", raw) if OPENING.search(raw) else raw
+                plain = " ".join((IDENTIFIER.sub(" ", bare) if MARK.search(bare) else bare).lower().split())
+                words = WORD.findall(plain)
+                han = 0 if plain.isascii() else len(HAN.findall(plain))
+                if han:
+                    words = [w for w in words if not HAN.match(w)]
                 closed = END.search(raw[-4:]) is not None
                 letters = sum(map(len, words))
                 counts = han >= 3 or (letters >= 8 and len(words) >= 2 and (closed or len(words) >= 5))
@@ -166,9 +170,14 @@ class KernelModel:
     def _multiply(self, texts: list[str], dense: np.ndarray) -> np.ndarray:
         """The normalized presence matrix of the texts times ``dense``."""
         out = np.zeros((len(texts), dense.shape[1]), np.float32)
-        step = max(1, 40_000_000 // (300 * dense.shape[1]))
+        wide = dense.shape[1] > 32
+        step = max(1, (20_000_000 // len(self.vocabulary)) if wide else 40_000_000 // (300 * dense.shape[1]))
         for a in range(0, len(texts), step):
             part = texts[a : a + step]
+            if wide:
+                m = self._matrix(*grams(part), len(part))
+                out[a : a + step] = (m / np.sqrt(np.maximum(m.sum(1), 1))[:, None]) @ dense
+                continue
             r, c = self.presence(*grams(part))
             if len(r):
                 start = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
@@ -226,6 +235,9 @@ def segment_units(units: list[tuple[int, int, str, bool]], logp: np.ndarray) ->
     """
     counted = [i for i, u in enumerate(units) if u[3]]
     n, classes = logp.shape
+    alone = int(logp[0].argmax())
+    if (logp.argmax(1) == alone).all():  # no change of language can pay
+        return [(units[0][0], units[-1][1], alone, float(np.exp(logp[:, alone]).mean()))]
     best, back = logp[0].copy(), np.zeros((n, classes), int)
     for k in range(1, n):
         top = int(best.argmax())
@@ -279,7 +291,7 @@ def document_segments(documents: DataFrame, model: KernelModel | None = None) ->
                 lo = hi
 
     usable = documents.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    return usable.select("doc_id", "text", "lang").mapInArrow(run, SEGMENT)
+    return spread(usable.select("doc_id", "text", "lang")).mapInArrow(run, SEGMENT)
 
 
 def _segment_batch(batch: pa.RecordBatch, texts: list[str], model: KernelModel) -> Iterator[pa.RecordBatch]:

@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kinelake.session import spread
+
 VOCABULARY = os.environ.get("KINELAKE_VOCABULARY", "/opt/tokenizers/byte_bpe_multi_50k.tiktoken")
 #: Fixed value: the pattern that splits text before the merges of the rank files.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -37,4 +39,4 @@ def token_counts(documents: DataFrame, vocabulary: str = VOCABULARY, keep: tuple
             columns = [batch.column(i) for i in range(batch.num_columns) if i != 1]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(counts)], names=[f.name for f in schema])
 
-    return kept.mapInArrow(run, schema)
+    return spread(kept).mapInArrow(run, schema)
