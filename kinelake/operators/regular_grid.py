@@ -150,7 +150,7 @@ def _smooth_table(tbl: pa.Table, chunk: int) -> Iterator[pa.RecordBatch]:
     yield from out.to_batches(max_chunksize=20_000)
 
 
-def _noise(pos: np.ndarray, length: np.ndarray, t: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _noise(length: np.ndarray, t: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Process and measurement variance of each series and channel from second differences at two spans.
 
     For the local linear trend the variance of a second difference over span h is
@@ -207,7 +207,7 @@ def _smooth(rg: np.ndarray, rt: np.ndarray, ry: np.ndarray, sg: np.ndarray, st:
     only = np.full((groups, max(int(n_read.max(initial=1)), 1), dims), np.nan)
     only_t = np.full(only.shape[:2], np.nan)
     only[rg, rpos], only_t[rg, rpos] = ry, rt
-    q, r = _noise(rpos, n_read, only_t, only)
+    q, r = _noise(n_read, only_t, only)
 
     has = np.isfinite(only)
     first = np.argmax(has, axis=1)

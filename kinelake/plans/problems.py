@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kinelake.operators import known_at, regular_grid, schema_drift, spikes
 from kinelake.session import table
@@ -23,6 +24,16 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return schema_drift.schema_changes(table(spark, d, "metadata_inspections")).select("inspection_id", "field", "change")
 
 
+def p4_features(spark: SparkSession, d: str) -> DataFrame:
+    """The features of every readable file."""
+    return schema_drift.features_long(schema_drift.feature_table(table(spark, d, "metadata_inspections"))).select("inspection_id", "name", "dtype", "shape")
+
+
+def p3_grid(spark: SparkSession, d: str) -> DataFrame:
+    """Every slot of every series: how many channels got a value, and whether a reading fills it."""
+    return _grid(spark, d).select("episode_key", "slot", "missing", F.size(F.filter("value", lambda v: v.isNotNull())).alias("channels"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return known_at.annotation_at_steps(table(spark, d, "steps"), table(spark, d, "annotations")).select("episode_key", "frame_index", "annotation_id")
 
@@ -31,7 +42,7 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return spikes.implausible_components(table(spark, d, "steps"), table(spark, d, "sources"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p3_found, p4_found, p5_found, p7_found)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p3_found, p3_grid, p4_found, p4_features, p5_found, p7_found)}
 
 ORACLES: dict[str, str] = {
     "p3_found": """

@@ -45,7 +45,7 @@ def test_smoother_equals_a_dense_solution(spark):
     y = np.sin(t) + rng.normal(0, 0.01, 25)
     st = np.arange(0, 31) / 10
     m, sd = regular_grid._smooth(np.zeros(25, int), t, y[:, None], np.zeros(31, int), st)
-    q, r = regular_grid._noise(np.arange(25), np.array([25]), t[None], y[None, :, None])
+    q, r = regular_grid._noise(np.array([25]), t[None], y[None, :, None])
     start = min(t[0], st[0])
     p0 = (np.abs(y).max() + 1.0) ** 2 * 4
 
