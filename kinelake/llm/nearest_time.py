@@ -63,16 +63,13 @@ class XFastTrie:
     def __init__(self, entity: np.ndarray, key: np.ndarray, bits: int = BITS):
         self.bits, self.n = bits, len(key)
         self.full = (entity.astype(np.int64) << (bits + 1)) | key
-        self.levels: list[HashTable | None] = []
+        self.levels: list[HashTable] = []
         for length in range(bits + 1):
             prefix = self.full >> (bits - length)
             first = change_points(prefix)
             last = np.append(first[1:], self.n) - 1
             # each node knows the range of leaves below it (the descendant pointers)
-            self.levels.append(HashTable(self._name(prefix[first], length), np.stack([first, last], 1)))
-
-    def _name(self, prefix: np.ndarray, length: int) -> np.ndarray:
-        return prefix.astype(np.int64)
+            self.levels.append(HashTable(prefix[first], np.stack([first, last], 1)))
 
     def predecessor(self, entity: np.ndarray, key: np.ndarray) -> np.ndarray:
         """The place of the greatest key <= ``key`` of the entity, -1 where there is none."""
