@@ -23,6 +23,9 @@ ORACLES: dict[str, str] = {}
 STEPS = "st AS (SELECT DISTINCT ON (episode_key, frame_index) * FROM steps WHERE episode_key IS NOT NULL AND frame_index IS NOT NULL)"
 EPISODES = "ep AS (SELECT DISTINCT ON (episode_key) * FROM episodes)"
 SRC = "src AS (SELECT source_id, revision, min(batch_no) AS batch_no, any_value(state_names) AS state_names, any_value(action_names) AS action_names, any_value(semantics_status) AS semantics_status FROM sources GROUP BY 1, 2)"
+# as text before anything sorts them: sorting vectors would make negative zeros positive
+FRAMES_TEXT = """(SELECT episode_key, string_agg(r, ';' ORDER BY frame_index) AS l FROM (SELECT DISTINCT episode_key, frame_index,
+concat(step_time::VARCHAR, '|', coalesce(state::VARCHAR, 'null'), '|', coalesce(action::VARCHAR, 'null')) AS r FROM steps WHERE episode_key IS NOT NULL AND frame_index IS NOT NULL) GROUP BY 1)"""
 SPLIT = """CASE WHEN {g} IS NULL THEN NULL WHEN ('0x' || substr(sha256('{{"group":"' || {g} || '","seed":"lab-demo-v1"}}'), 1, 8))::BIGINT % 5 = 0 THEN 'validation' ELSE 'train' END"""
 FINITE = "coalesce(isfinite({0}), false)"
 
@@ -155,7 +158,7 @@ def duplicate_of(spark: SparkSession, d: str) -> DataFrame:
     return ledger.first_occurrence(table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("h")), "doc_id", "h")
 
 
-@query(f"""WITH {STEPS}, {EPISODES}, t AS (SELECT episode_key, list(struct_pack(frame_index, step_time, state, action) ORDER BY frame_index)::VARCHAR AS l FROM st GROUP BY 1),
+@query(f"""WITH {EPISODES}, t AS {FRAMES_TEXT},
 e AS (SELECT episode_key, min(episode_key) OVER (PARTITION BY embodiment, l) AS f FROM t JOIN ep USING (episode_key)) SELECT episode_key, nullif(f, episode_key) AS duplicate_of FROM e""")
 def trajectory_duplicates(spark: SparkSession, d: str) -> DataFrame:
     prints = ledger.trajectory_fingerprints(steps_of(spark, d), episodes_of(spark, d))
@@ -239,7 +242,7 @@ def stats_dim(spark: SparkSession, d: str) -> DataFrame:
 
 ACCEPTED_SQL = f"""{QUALITY_SQL}, {ANCHORS.replace('an AS', 'an0 AS')}, {THIN.format(m=64).replace('kept AS', 'an AS').replace('FROM an)', 'FROM an0)')}, {ALIGN},
 med AS (SELECT episode_key, count(reason) = 0 AS media_ok FROM alr GROUP BY 1),
-fpr AS (SELECT episode_key, list(struct_pack(frame_index, step_time, state, action) ORDER BY frame_index)::VARCHAR AS l FROM st GROUP BY 1),
+fpr AS {FRAMES_TEXT},
 led0 AS (SELECT q.episode_key, q.source_id, q.origin_group, q.embodiment, q.errors = '' AS ok, coalesce(media_ok, false) AS media_ok, l, coalesce(batch_no, 2147483647) AS bn, episode_id, fps, success, s_most, a_most, state_names, action_names FROM qual q LEFT JOIN med USING (episode_key) LEFT JOIN fpr USING (episode_key)),
 led1 AS (SELECT *, row_number() OVER (ORDER BY bn, episode_key) AS ord FROM led0),
 led2 AS (SELECT *, min(CASE WHEN ok AND media_ok THEN ord END) OVER (PARTITION BY embodiment, l) AS a FROM led1),
