@@ -276,9 +276,12 @@ def document_segments(documents: DataFrame, model: KernelModel | None = None) ->
     model = model or train(documents)
     if model is None:
         return documents.sparkSession.createDataFrame([], SEGMENT)
-    shared = documents.sparkSession.sparkContext.broadcast(model)  # bounded by landmarks and their n-grams
+    # arrays only, bounded by the landmarks' n-grams: executors need no copy of the class
+    shared = documents.sparkSession.sparkContext.broadcast(dict(vars(model)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = KernelModel.__new__(KernelModel)
+        vars(own).update(shared.value)
         for batch in batches:
             texts = batch.column(1).to_pylist()
             lo = 0
@@ -287,7 +290,7 @@ def document_segments(documents: DataFrame, model: KernelModel | None = None) ->
                 while hi < len(texts) and (hi == lo or size < 300_000):
                     size += len(texts[hi] or "")
                     hi += 1
-                yield from _segment_batch(batch.slice(lo, hi - lo), texts[lo:hi], shared.value)
+                yield from _segment_batch(batch.slice(lo, hi - lo), texts[lo:hi], own)
                 lo = hi
 
     usable = documents.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
