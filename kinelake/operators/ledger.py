@@ -2,20 +2,19 @@
 
 The outcome of an episode depends on the ones before it in two ways: a source's
 contract is that of its first accepted episode, and a trajectory counts as a
-duplicate only after an equal one was accepted. Both feed back, so the compact
-ledger rows (no frames) are folded in order. Where all episodes of a source agree
-in their contract the fold reduces to a window over equal fingerprints.
+duplicate only after an equal one was accepted. ``fold`` says so row by row;
+``decide`` gives the same from the compact ledger rows (no frames) by rounds of
+minima per fingerprint and source, one round more per source of mixed contracts at most.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-LEDGER = "ord bigint, source_id string, episode_key bigint, outcome string, stage string, duplicate_of bigint"
+from kinelake.session import cut_lineage
 
 
 def trajectory_fingerprints(steps: DataFrame, episodes: DataFrame) -> DataFrame:
@@ -53,29 +52,57 @@ def fold(rows: Iterable[dict]) -> Iterator[dict]:
         yield out
 
 
+def contract_of(state_dim: str = "state_dim", action_dim: str = "action_dim", state_names: str = "state_names", action_names: str = "action_names") -> Column:
+    """An episode's contract as text: widths and channel names in order; without names the list is empty."""
+    none = F.array().cast("array<string>")
+    return F.to_json(F.struct(F.col(state_dim).alias("s"), F.col(action_dim).alias("a"), F.coalesce(state_names, none).alias("sn"), F.coalesce(action_names, none).alias("an")), {"ignoreNullFields": "false"})
+
+
+def _fronts(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``first``, the earliest of equal fingerprint (hot ones after a map-side minimum)."""
+    first = rows.groupBy("fingerprint").agg(F.min(F.struct("ord", "settled")).alias("first"))
+    return rows.join(first, "fingerprint")
+
+
+def _settle(possible: DataFrame) -> DataFrame:
+    """The rows of ``possible`` (quality and media good) whose contract is that of their source's first accepted episode.
+
+    A source with one contract left is settled. The earliest row of a fingerprint
+    is accepted if its source is settled, so later equal rows go. Of an unsettled
+    source the first row left names the contract if it is the earliest of its
+    fingerprint; that holds for the first of all such rows, so every round settles
+    a source and there are at most as many rounds as sources.
+    """
+    possible = possible.withColumn("settled", F.lit(True))
+    while True:
+        per = possible.groupBy("source").agg((F.min("contract") == F.max("contract")).alias("settled"))
+        marked = cut_lineage(possible.drop("settled").join(per, "source"))
+        if marked.where("not settled").isEmpty():
+            return marked
+        live = _fronts(marked).withColumn("front", F.col("ord") == F.col("first.ord")).where(F.col("front") | ~F.col("first.settled"))
+        lead = live.where("not settled").groupBy("source").agg(F.min(F.struct("ord", "front", "contract")).alias("lead"))
+        kept = live.join(lead, "source", "left").where("settled or not lead.front or contract = lead.contract")
+        possible = kept.select("ord", "source", "episode_key", "contract", "fingerprint", "settled")
+
+
 def decide(compact: DataFrame) -> DataFrame:
     """The ledger of ``compact``: ord, source_id, episode_key, quality_ok, contract, fingerprint, media_ok.
 
-    If every source's quality-clean episodes share one contract, a window over
-    equal fingerprints decides (equal trajectories lie together, hot ones after a
-    map-side minimum); otherwise one ordered fold over the compact rows does.
+    Equal to ``fold``, without its one pass in order: the contract of each source is
+    settled first, then joins over fingerprints and sources decide.
     """
-    clean = compact.where("quality_ok")
-    mixed = clean.groupBy("source_id").agg(F.count_distinct("contract").alias("n")).where("n > 1").limit(1).count()
-    if mixed:
-        def run(pdf: pd.DataFrame) -> pd.DataFrame:
-            rows = pdf.sort_values("ord")
-            out = pd.DataFrame(list(fold(rows.to_dict("records"))))
-            out.insert(0, "ord", rows["ord"].to_numpy())
-            return out
-
-        return compact.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(run, LEDGER)
-    first = clean.where("media_ok").groupBy("fingerprint").agg(F.min(F.struct("ord", "episode_key")).alias("first"))
-    e = compact.join(first, "fingerprint", "left")
+    compact = compact.withColumn("source", F.to_json(F.struct("source_id")))  # a missing id is one source, too
+    good = compact.where("quality_ok and media_ok").select("ord", "source", "episode_key", "contract", "fingerprint")
+    accepted = _fronts(_settle(good)).where("ord = first.ord").select("ord", "source", "episode_key", "contract", "fingerprint")
+    first = accepted.select("fingerprint", F.struct("ord", "episode_key").alias("first"))
+    begun = accepted.groupBy("source").agg(F.min(F.struct("ord", "contract")).alias("begun"))
+    e = compact.join(first, "fingerprint", "left").join(begun, "source", "left")
     at = F.col("first.ord")
-    outcome = F.when(F.col("quality_ok") & (F.col("ord") == at), "accepted").when(F.col("quality_ok") & (F.col("ord") > at), "duplicate").otherwise("quarantined")
-    stage = F.when(~F.col("quality_ok"), "quality").when(at.isNull() | (F.col("ord") < at), "media")
-    return e.select("ord", "source_id", "episode_key", outcome.alias("outcome"), stage.alias("stage"), F.when(F.col("quality_ok") & (F.col("ord") > at), F.col("first.episode_key")).alias("duplicate_of"))
+    other = F.coalesce((F.col("begun.ord") < F.col("ord")) & (F.col("begun.contract") != F.col("contract")), F.lit(False))
+    fits = F.col("quality_ok") & ~other
+    outcome = F.when(fits & (F.col("ord") == at), "accepted").when(fits & (F.col("ord") > at), "duplicate").otherwise("quarantined")
+    stage = F.when(~F.col("quality_ok"), "quality").when(other, "contract").when(at.isNull() | (F.col("ord") < at), "media")
+    return e.select("ord", "source_id", "episode_key", outcome.alias("outcome"), stage.alias("stage"), F.when(fits & (F.col("ord") > at), F.col("first.episode_key")).alias("duplicate_of"))
 
 
 def first_occurrence(df: DataFrame, key: str, content: str) -> DataFrame:

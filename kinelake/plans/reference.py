@@ -263,9 +263,9 @@ def compact_ledger(spark: SparkSession, d: str, st: DataFrame) -> DataFrame:
     a = tr.anchors(st.select("episode_key", "frame_index", "step_time"))
     media = asof.align_frames(a, ep, table(spark, d, "frames")).groupBy("episode_key").agg((F.count("reason") == 0).alias("media_ok"))
     ordered = ledger.source_order(table(spark, d, "sources"), tr.once(table(spark, d, "episodes"), "episode_key"))
-    contract = F.to_json(F.struct("state_dim", "action_dim"))
     return (
-        q.select("episode_key", (F.size("errors") == 0).alias("quality_ok"), contract.alias("contract"), "frames", "state_dim", "action_dim")
+        q.join(ep.select("episode_key", "state_names", "action_names"), "episode_key")
+        .select("episode_key", (F.size("errors") == 0).alias("quality_ok"), ledger.contract_of().alias("contract"), "frames", "state_dim", "action_dim")
         .join(ledger.trajectory_fingerprints(st, ep), "episode_key")
         .join(media, "episode_key", "left")
         .withColumn("media_ok", F.coalesce("media_ok", F.lit(False)))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from kinelake.functions import hashing, vectors
 from kinelake.operators import asof, ledger, quality, stats
 from kinelake.operators import trajectories as tr
+from kinelake.plans import reference as plans
 
 NAN, INF = float("nan"), float("inf")
 STEP = "episode_key bigint, frame_index bigint, step_time double, state array<double>, action array<double>, language string, own int"
@@ -181,6 +182,35 @@ def test_ledger_window_equals_fold(spark):
         assert got == want
 
 
+def test_ledger_settles_contracts_across_sources(spark):
+    """Many sources of mixed contracts whose first accepted episodes depend on one another's."""
+    rng = random.Random(21)
+    rows = [(i, rng.choice([None, *"abcdefgh"]), i, rng.random() > 0.1, rng.choice("xyz"), f"f{rng.randint(0, 60)}", rng.random() > 0.3) for i in range(400)]
+    got = {r.episode_key: (r.outcome, r.stage, r.duplicate_of) for r in ledger.decide(spark.createDataFrame(rows, COMPACT)).collect()}
+    names = [c.split()[0] for c in COMPACT.split(", ")]
+    want = {r["episode_key"]: (r["outcome"], r["stage"], r["duplicate_of"]) for r in ledger.fold(dict(zip(names, x, strict=True)) for x in rows)}
+    assert got == want and {"contract", "media"} <= {x[1] for x in got.values()}
+
+
+def write_tables(spark, folder, names, frames):
+    """Data tables of one source with an episode of four steps per entry of ``names`` (its revision's state names)."""
+    n = len(names)
+    rows = [(*r[:3], [float(k), 1.0], *r[4:], "s") for k in range(1, n + 1) for r in steps(4, k)]
+    spark.createDataFrame(rows, STEP + ", source_id string").write.parquet(f"{folder}/steps.parquet")
+    eps = [(*episode(k), f"r{k}") for k in range(1, n + 1)]
+    spark.createDataFrame(eps, EPISODE + ", revision string").drop("state_names", "action_names", "semantics_status").write.parquet(f"{folder}/episodes.parquet")
+    src = [("s", f"r{k}", k, names[k - 1], None, "verified") for k in range(1, n + 1)]
+    spark.createDataFrame(src, "source_id string, revision string, batch_no int, state_names array<string>, action_names array<string>, semantics_status string").write.parquet(f"{folder}/sources.parquet")
+    spark.createDataFrame(frames, "frame_id bigint, source_id string, video string, pts double").write.parquet(f"{folder}/frames.parquet")
+    return str(folder)
+
+
+def test_registered_ledger_holds_a_source_to_its_channel_names(spark, tmp_path):
+    d = write_tables(spark, tmp_path, [None, ["x", "y"], []], [(i, "s", "v", i / 20) for i in range(4)])
+    got = {r.episode_key: (r.outcome, r.stage) for r in plans.episode_ledger(spark, d).collect()}
+    assert got == {1: ("accepted", None), 2: ("quarantined", "contract"), 3: ("accepted", None)}
+
+
 def test_fingerprint_ignores_words_and_keeps_zeros_apart(spark):
     rows = steps(3, 1) + [(*r[:5], "other words", 0) for r in steps(3, 2)] + steps(3, 3, set={(0, 4): [-0.0, 1.0]}) + steps(3, 4, set={(0, 3): None}) + steps(3, 5, set={(0, 3): [NAN, 1.0]}) + steps(3, 6)
     eps = [episode(k, source_id=f"s{k}", embodiment="other" if k == 6 else "robot") for k in range(1, 7)]
