@@ -32,13 +32,15 @@ SHARD, BASE_BATCHES, NEIGHBOURS = 20_000, 8, 16
 LEVELS = np.array([0.1, 0.3, 0.5, 0.7, 0.9])
 #: Fixed codes for values that only agree with themselves.
 CODES = {"null": 1e300, "nan": 2e300, "inf": 3e300}
+#: Quantiles are cut at this many joint limits; it is also what a channel that is not there has.
+CUT = 2.0
 SKETCH = "episode_key bigint, frames bigint, digest binary, sketch array<float>"
 CANDIDATE = "a bigint, b bigint, distance double"
 LINK = "a bigint, b bigint, share double"
 
 
-def _coded(tbl: pa.Table) -> np.ndarray:
-    """State and action side by side; null, NaN and the infinities as codes far off every number."""
+def _parts(tbl: pa.Table) -> list[np.ndarray]:
+    """State and action; null, NaN and the infinities as codes far off every number."""
     parts = []
     for name in ("state", "action"):
         flat, off = vectors(tbl, name)
@@ -48,7 +50,25 @@ def _coded(tbl: pa.Table) -> np.ndarray:
         v = np.where(missing, CODES["null"], np.where(np.isnan(flat), CODES["nan"], np.where(np.isinf(flat), np.sign(flat) * CODES["inf"], flat)))
         m = padded(v, off)
         parts.append(np.where(np.isnan(m), CODES["null"], m))
-    return np.concatenate(parts, 1)
+    return parts
+
+
+def _coded(tbl: pa.Table) -> np.ndarray:
+    """State and action side by side."""
+    return np.concatenate(_parts(tbl), 1)
+
+
+def _interleaved(tbl: pa.Table, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """State and action channels in turns, and how many of these columns each episode has (up to its last value, one at least).
+
+    So a channel's column does not depend on the widths of other episodes.
+    """
+    parts = _parts(tbl)
+    out = np.full((tbl.num_rows, 2 * max(1, *(v.shape[1] for v in parts))), CODES["null"])
+    for k, v in enumerate(parts):
+        out[:, k : 2 * v.shape[1] : 2] = v
+    there = np.logical_or.reduceat(out != CODES["null"], starts, axis=0)
+    return out, np.maximum((there * np.arange(1, out.shape[1] + 1)).max(1), 1)
 
 
 def _distinct_frames(tbl: pa.Table, keys: list[str]) -> pa.Table:
@@ -78,22 +98,29 @@ def episode_sketches(steps: DataFrame, limits: DataFrame) -> DataFrame:
 
 
 def _sketch_table(tbl: pa.Table) -> pa.RecordBatch:
-    x = _coded(tbl)
     key = column(tbl, "episode_key")
     starts = change_points(key)
+    x, widths = _interleaved(tbl, starts)
     ends = np.append(starts[1:], len(key))
     group = np.repeat(np.arange(len(starts)), ends - starts)
     limit = column(tbl, "joint_limit")
-    scaled = np.clip(x / limit[:, None], -2, 2)
+    scaled = np.clip(x / limit[:, None], -CUT, CUT)
     at = starts[:, None] + np.minimum((LEVELS[None, :] * (ends - starts)[:, None]).astype(np.int64), (ends - starts)[:, None] - 1)
     sketch = np.empty((len(starts), x.shape[1] * len(LEVELS)), np.float32)
     for c in range(x.shape[1]):
         order = np.lexsort((scaled[:, c], group))
         sketch[:, c * len(LEVELS) : (c + 1) * len(LEVELS)] = scaled[order, c][at]
-    digests = [hashlib.blake2b(np.ascontiguousarray(x[a:b]).tobytes(), digest_size=16).digest() for a, b in zip(starts, ends, strict=True)]
-    width = sketch.shape[1]
-    offsets = pa.array(np.arange(len(starts) + 1, dtype=np.int32) * width)
-    return pa.RecordBatch.from_arrays([pa.array(key[starts]), pa.array(column(tbl, "span")[starts]), pa.array(digests, pa.binary()), pa.ListArray.from_arrays(offsets, pa.array(sketch.ravel()))], names=["episode_key", "frames", "digest", "sketch"])
+    digests = [hashlib.blake2b(int(w).to_bytes(8, "little") + np.ascontiguousarray(x[a:b, :w]).tobytes(), digest_size=16).digest() for a, b, w in zip(starts, ends, widths, strict=True)]
+    own = np.repeat(np.arange(x.shape[1]), len(LEVELS))[None, :] < widths[:, None]
+    offsets = pa.array(np.concatenate([[0], np.cumsum(widths * len(LEVELS))]).astype(np.int32))
+    return pa.RecordBatch.from_arrays([pa.array(key[starts]), pa.array(column(tbl, "span")[starts]), pa.array(digests, pa.binary()), pa.ListArray.from_arrays(offsets, pa.array(sketch[own]))], names=["episode_key", "frames", "digest", "sketch"])
+
+
+def level_widths(points: DataFrame, by: str) -> DataFrame:
+    """``points`` with sketches as long as the longest of the same ``by``: missing channels are null in every frame."""
+    widest = points.groupBy(by).agg(F.max(F.size("sketch")).alias("widest"))
+    fill = F.array_repeat(F.lit(CUT).cast("float"), F.col("widest") - F.size("sketch"))
+    return points.join(widest, by).withColumn("sketch", F.concat("sketch", fill)).drop("widest")
 
 
 def history_segments(batches: int, base: int = BASE_BATCHES) -> int:
@@ -124,7 +151,7 @@ def candidates(points: DataFrame, most_batches: int, neighbours: int = NEIGHBOUR
     shards, each asked by all queries. Shard nodes come first in their group and
     are bounded; queries stream past them in blocks.
     """
-    roles = segment_roles(points, most_batches)
+    roles = segment_roles(level_widths(points, "embodiment"), most_batches)
     group = ["embodiment", "level", "segment"]
     sizes = roles.where("tag = 0").groupBy(*group).count().withColumn("shards", F.ceil(F.col("count") / SHARD)).drop("count")
     placed = roles.join(sizes, group)
@@ -348,7 +375,7 @@ def batch_against_history(new_points: DataFrame, shards: DataFrame, neighbours:
     nodes = shards.select(F.xxhash64("embodiment").alias("kind"), "shard", F.lit(0).alias("tag"), "episode_key", "frames", "sketch")
     places = shards.select("embodiment", "shard").distinct()
     asks = new_points.join(places, "embodiment").select(F.xxhash64("embodiment").alias("kind"), "shard", F.lit(1).alias("tag"), "episode_key", "frames", "sketch")
-    keyed = nodes.unionByName(asks).repartition("kind", "shard").sortWithinPartitions("kind", "shard", "tag", "episode_key")
+    keyed = level_widths(nodes.unionByName(asks), "kind").repartition("kind", "shard").sortWithinPartitions("kind", "shard", "tag", "episode_key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tbl in whole_groups(batches, ["kind", "shard"]):

@@ -4,6 +4,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -206,6 +207,33 @@ def test_new_batch_needs_only_the_shards(spark):
     assert (20, 61) in found and all(b == 61 for _, b in found)
 
 
+def test_sketch_of_an_episode_does_not_depend_on_its_table():
+    rng = np.random.default_rng(2)
+    frames = {k: (rng.normal(size=(30, w)), rng.normal(size=(30, w))) for k, w in ((1, 6), (2, 8), (3, 7))}
+    frames[4] = frames[1]
+
+    def sketched(keys):
+        rows = [(k, i, 30, 2.0, list(frames[k][0][i]), list(frames[k][1][i])) for k in keys for i in range(30)]
+        tbl = pa.table(dict(zip(("episode_key", "frame_index", "span", "joint_limit", "state", "action"), map(list, zip(*rows, strict=True)), strict=True)))
+        return {r["episode_key"]: (r["digest"], r["sketch"]) for r in history._sketch_table(tbl).to_pylist()}
+
+    mixed = sketched([1, 2, 3, 4])
+    assert all(mixed[k] == sketched([k])[k] for k in frames)
+    assert mixed[1] == mixed[4] and [len(mixed[k][1]) for k in (1, 2, 3)] == [60, 80, 70]
+
+
+def test_repeats_are_found_among_mixed_widths(spark):
+    """One embodiment with 3 and 5 channels; a 5-channel episode whose last ones are null in every frame repeats a 3-channel one."""
+    eps = {k: (m[:, :3], m[:, 3:]) for k, m in walks(30, 40, 5).items()}
+    eps |= {k + 100: (np.hstack([m[:, :3], m[:, :2] + 1]), np.hstack([m[:, 3:], m[:, 4:] + 1])) for k, m in walks(30, 40, 6).items()}
+    eps[201], eps[202] = eps[4], tuple(v[2:] for v in eps[105])
+    eps[203] = tuple(np.hstack([v[1:], np.full((len(v) - 1, 2), NAN)]) for v in eps[6])
+    steps = [(k, i, [float(v) for v in s], [None if np.isnan(v) else float(v) for v in a], "s", "x") for k, m in eps.items() for i, (s, a) in enumerate(zip(*m, strict=True))]
+    steps = [(r[0], r[1], [None if np.isnan(v) else v for v in r[2]], *r[3:]) for r in steps]
+    args = spark.createDataFrame(steps, STEP), spark.createDataFrame([(k, "a", "r0", "arm", 0) for k in eps], EPISODE), spark.createDataFrame([("a", "r0", 1, 1.0)], "source_id string, revision string, batch_no int, joint_limit double")
+    assert {(r.episode_key_a, r.episode_key_b) for r in history.repeated_episodes(*args).collect()} == {(4, 201), (105, 202), (6, 203)}
+
+
 # --- packing --------------------------------------------------------------------------------
 
 
