@@ -2,10 +2,10 @@
 
 Each episode gets a sketch: five quantiles of every channel, which removing or
 changing a fifth of the frames moves only a little. Sketches live in
-small-world graph shards per embodiment and history segment; a batch forms a new
-shard, and scheduled compaction merges neighbouring segments pairwise. A new
-batch searches the shards of all segments before it; what it finds within the
-quantiles' bounds (with slack for short episodes) is compared frame by frame.
+shards per embodiment and history segment; a batch forms a new shard, and
+scheduled compaction merges neighbouring segments pairwise. A new batch scans the
+shards of all segments before it by ranges; everything within the quantiles'
+bounds (with slack for short episodes) is compared frame by frame.
 """
 
 from __future__ import annotations
@@ -20,15 +20,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinelake.llm.families import connected_components
-from kinelake.llm.small_world import SmallWorld
 from kinelake.session import change_points, column, cut_lineage, padded, vectors, whole_groups
 
 #: Share of the longer episode's frames that must reappear, and the tolerance as a share of the joint limit.
 SHARE, TOLERANCE = 0.8, 0.001
 #: Frames of an episode that its sketch is computed from at most (evenly spread); comparison uses all.
 SKETCH_FRAMES = 8192
-#: Nodes of one graph shard at most (a larger segment has several shards), batches of a base segment, neighbours asked for.
-SHARD, BASE_BATCHES, NEIGHBOURS = 20_000, 8, 16
+#: Nodes of one shard at most (a larger segment has several shards), batches of a base segment, nodes of a block, pairs held at once.
+SHARD, BASE_BATCHES, BLOCK, PAIRS = 20_000, 8, 16, 500_000
 LEVELS = np.array([0.1, 0.3, 0.5, 0.7, 0.9])
 #: Fixed codes for values that only agree with themselves.
 CODES = {"null": 1e300, "nan": 2e300, "inf": 3e300}
@@ -143,8 +142,8 @@ def segment_roles(points: DataFrame, most_batches: int, base: int = BASE_BATCHES
     return points.select("*", F.explode(F.array(*roles)).alias("r")).select("*", "r.level", "r.segment", "r.tag").drop("r")
 
 
-def candidates(points: DataFrame, most_batches: int, neighbours: int = NEIGHBOURS) -> DataFrame:
-    """Pairs (a, b, distance) that a search of the graph shards finds within the quantiles' bounds.
+def candidates(points: DataFrame, most_batches: int) -> DataFrame:
+    """All pairs (a, b, distance) within the quantiles' bounds.
 
     ``points``: episode_key, embodiment, batch_rank, frames, joint_limit, sketch.
     A segment above ``SHARD`` nodes is split by a hash of the key into several
@@ -162,7 +161,7 @@ def candidates(points: DataFrame, most_batches: int, neighbours: int = NEIGHBOUR
     keyed = placed.select(*keys, "tag", "episode_key", "frames", "sketch").repartition(*keys).sortWithinPartitions(*keys, "tag", "episode_key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state: dict = {"key": None, "nodes": [], "graph": None}
+        state: dict = {"key": None, "nodes": [], "shard": None}
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -171,26 +170,64 @@ def candidates(points: DataFrame, most_batches: int, neighbours: int = NEIGHBOUR
             for a, b in zip(starts[:-1], starts[1:], strict=True):
                 key, piece = tuple(int(c[a]) for c in cols[:4]), batch.slice(a, b - a)
                 if key != state["key"]:
-                    state = {"key": key, "nodes": [], "graph": None}
+                    state = {"key": key, "nodes": [], "shard": None}
                 if cols[4][a] == 0:
                     state["nodes"].append(piece)
                 elif state["nodes"]:
-                    if state["graph"] is None:
-                        state["graph"] = _shard(pa.Table.from_batches(state["nodes"]), neighbours)
-                    found = _ask(state["graph"], pa.Table.from_batches([piece]), neighbours)
-                    if found.num_rows:
-                        yield found
+                    if state["shard"] is None:
+                        state["shard"] = _shard(pa.Table.from_batches(state["nodes"]))
+                    yield from _ask(state["shard"], pa.Table.from_batches([piece]))
 
     return keyed.mapInArrow(run, CANDIDATE)
 
 
-def _shard(tbl: pa.Table, neighbours: int) -> dict:
+def _sketches(tbl: pa.Table) -> np.ndarray:
+    """Sketches of equal length as a matrix."""
     flat, off = vectors(tbl, "sketch")
-    base = padded(flat, off).astype(np.float32)
-    base = np.where(np.isnan(base), 0, base)
-    graph = SmallWorld(base)
-    graph.tune(min(neighbours, max(len(base), 1)))
-    return {"graph": graph, "key": column(tbl, "episode_key"), "frames": column(tbl, "frames")}
+    return padded(flat, off).astype(np.float32)
+
+
+def _slack(x: np.ndarray) -> np.ndarray:
+    """Per channel, what order statistics of few frames may be off by."""
+    return 3 * TOLERANCE + 0.1 * (x[:, :, 4] - x[:, :, 0])
+
+
+def _channels(x: np.ndarray) -> np.ndarray:
+    return x.reshape(len(x), x.shape[1] // len(LEVELS), len(LEVELS))
+
+
+def _ranges(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per sketch the least and greatest inner quantiles a partner may have: two tables of 3 columns a channel."""
+    c = _channels(x)
+    slack = _slack(c)[:, :, None]
+    return (c[:, :, :3] - slack).reshape(len(x), -1), (c[:, :, 2:] + slack).reshape(len(x), -1)
+
+
+def _inner(x: np.ndarray) -> np.ndarray:
+    return _channels(x)[:, :, 1:4].reshape(len(x), -1)
+
+
+def _shard(tbl: pa.Table) -> dict:
+    """Nodes cut into blocks of near ones (halves by the widest column), with the extremes of each block."""
+    base, frames = _sketches(tbl), column(tbl, "frames")
+    inner, todo, blocks = _inner(base), [np.arange(len(base))], []
+    while todo:
+        ids = todo.pop()
+        if len(ids) <= BLOCK:
+            blocks.append(ids)
+            continue
+        v = inner[ids]
+        c = int(np.argmax(v.max(0) - v.min(0)))
+        order = ids[np.argsort(v[:, c], kind="stable")]
+        todo += [order[: len(ids) // 2], order[len(ids) // 2 :]]
+    order = np.concatenate(blocks)
+    starts = np.concatenate([[0], np.cumsum([len(b) for b in blocks])])
+    base, frames, inner = base[order], frames[order], inner[order]
+    lo, hi = _ranges(base)
+    least, most = (lambda v: np.minimum.reduceat(v, starts[:-1], axis=0)), (lambda v: np.maximum.reduceat(v, starts[:-1], axis=0))
+    extremes = {"least": least(inner), "most": most(inner), "lo": least(lo), "hi": most(hi), "short": least(frames), "long": most(frames)}
+    spread = inner.max(0) - inner.min(0)
+    return {"base": base, "key": column(tbl, "episode_key")[order], "frames": frames, "starts": starts, "columns": np.argsort(-spread, kind="stable"), **extremes}
 
 
 def within_bounds(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -199,33 +236,44 @@ def within_bounds(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     Their distribution functions then differ by at most 0.2, so each inner quantile
     lies between the other's quantiles two tenths lower and higher.
     """
-    a, b = (v.reshape(len(v), v.shape[1] // len(LEVELS), len(LEVELS)) for v in (x, y))
+    a, b = _channels(x), _channels(y)
     ok = np.ones(len(x), bool)
     for p, q in ((a, b), (b, a)):
-        slack = 3 * TOLERANCE + 0.1 * (q[:, :, 4] - q[:, :, 0])  # the quantiles are order statistics of few frames
+        slack = _slack(q)
         for k in range(1, 4):
             ok &= ((p[:, :, k] >= q[:, :, k - 1] - slack) & (p[:, :, k] <= q[:, :, k + 1] + slack)).all(1)
     return ok
 
 
-def _ask(shard: dict, tbl: pa.Table, neighbours: int) -> pa.RecordBatch:
-    flat, off = vectors(tbl, "sketch")
-    width = shard["graph"].base.shape[1]
-    q = padded(flat, off, width).astype(np.float32)
-    q = np.where(np.isnan(q), 0, q)
-    ids, dist = shard["graph"].search(q, min(neighbours + 1, len(shard["key"])))
-    row = np.repeat(np.arange(len(q)), ids.shape[1])
-    node, d = ids.ravel(), dist.ravel()
-    key, frames = column(tbl, "episode_key"), column(tbl, "frames")
-    ok = node >= 0
-    row, node, d = row[ok], node[ok], d[ok]
-    fa, fb = frames[row], shard["frames"][node]
-    ok = (key[row] != shard["key"][node]) & (np.minimum(fa, fb) >= SHARE * np.maximum(fa, fb) - 1e-9)
-    row, node, d = row[ok], node[ok], d[ok]
-    ok = within_bounds(q[row], shard["graph"].base[node])
-    row, node, d = row[ok], node[ok], d[ok]
-    a, b = key[row], shard["key"][node]
-    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(d.astype(np.float64))], names=["a", "b", "distance"])
+def _ask(shard: dict, tbl: pa.Table) -> Iterator[pa.RecordBatch]:
+    """All nodes of like length within the bounds of each query: blocks that cannot hold one are passed over, the rest is compared."""
+    q, key, frames = _sketches(tbl), column(tbl, "episode_key"), column(tbl, "frames")
+    starts, sizes = shard["starts"], np.diff(shard["starts"])
+    step = max(PAIRS // len(sizes), 1)
+    for at in range(0, len(q), step):
+        part = q[at : at + step]
+        lo, hi = _ranges(part)
+        inner, n = _inner(part), frames[at : at + step]
+        row, block = np.nonzero((shard["long"][None, :] >= SHARE * n[:, None] - 1e-9) & (n[:, None] >= SHARE * shard["short"][None, :] - 1e-9))
+        for c in shard["columns"]:
+            if not len(row):
+                break
+            v = inner[row, c]
+            ok = (shard["most"][block, c] >= lo[row, c]) & (shard["least"][block, c] <= hi[row, c]) & (v >= shard["lo"][block, c]) & (v <= shard["hi"][block, c])
+            row, block = row[ok], block[ok]
+        for b in range(0, len(row), PAIRS // (16 * BLOCK)):
+            r, k = row[b : b + PAIRS // (16 * BLOCK)], block[b : b + PAIRS // (16 * BLOCK)]
+            i = at + np.repeat(r, sizes[k])
+            j = np.arange(len(i)) - np.repeat(np.cumsum(sizes[k]) - sizes[k], sizes[k]) + np.repeat(starts[k], sizes[k])
+            fa, fb = frames[i], shard["frames"][j]
+            ok = (key[i] != shard["key"][j]) & (np.minimum(fa, fb) >= SHARE * np.maximum(fa, fb) - 1e-9)
+            i, j = i[ok], j[ok]
+            ok = within_bounds(q[i], shard["base"][j])
+            i, j = i[ok], j[ok]
+            if len(i):
+                x, y = key[i], shard["key"][j]
+                d = ((q[i] - shard["base"][j]).astype(np.float64) ** 2).sum(1)
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(d)], names=["a", "b", "distance"])
 
 
 def common_frames(x: np.ndarray, y: np.ndarray, tolerance: float, least: int = 0) -> int:
@@ -366,7 +414,7 @@ def _verified(pairs: DataFrame, steps: DataFrame, limits: DataFrame, nodes: int)
     return rest if done is None else done.unionByName(rest)
 
 
-def batch_against_history(new_points: DataFrame, shards: DataFrame, neighbours: int = NEIGHBOURS) -> DataFrame:
+def batch_against_history(new_points: DataFrame, shards: DataFrame) -> DataFrame:
     """Candidate pairs of a new batch with stored history: only the shards are read, no earlier frames.
 
     Both have the columns of ``episode_sketches`` plus embodiment; ``shards`` also
@@ -384,7 +432,7 @@ def batch_against_history(new_points: DataFrame, shards: DataFrame, neighbours:
             for s, e in zip(starts[:-1], starts[1:], strict=True):
                 cut = s + int(np.searchsorted(tag[s:e], 1))
                 if s < cut < e:
-                    yield _ask(_shard(tbl.slice(s, cut - s), neighbours), tbl.slice(cut, e - cut), neighbours)
+                    yield from _ask(_shard(tbl.slice(s, cut - s)), tbl.slice(cut, e - cut))
 
     return keyed.mapInArrow(run, CANDIDATE)
 

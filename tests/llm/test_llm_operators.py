@@ -234,6 +234,21 @@ def test_repeats_are_found_among_mixed_widths(spark):
     assert {(r.episode_key_a, r.episode_key_b) for r in history.repeated_episodes(*args).collect()} == {(4, 201), (105, 202), (6, 203)}
 
 
+def test_every_partner_within_bounds_is_a_candidate(spark):
+    """A dense shard: hundreds of takes lie within one another's bounds, many more than a list of nearest ones holds."""
+    rng = np.random.default_rng(6)
+    base = np.sort(rng.uniform(-1, 1, (1, 4, 5)), 2)
+    x = np.concatenate([np.sort(base + rng.normal(0, 0.03, (300, 4, 5)), 2), np.sort(rng.uniform(-1, 1, (700, 4, 5)), 2)]).reshape(1000, 20).astype(np.float32)
+    n = rng.integers(80, 140, 1000)
+    i, j = np.triu_indices(1000, 1)
+    ok = (np.minimum(n[i], n[j]) >= 0.8 * np.maximum(n[i], n[j]) - 1e-9) & history.within_bounds(x[i], x[j])
+    want = set(zip(i[ok].tolist(), j[ok].tolist(), strict=True))
+    assert len(want) > 300 * 16
+    rows = [(k, "arm", k % 20, int(n[k]), [float(v) for v in x[k]]) for k in range(1000)]
+    points = spark.createDataFrame(rows, "episode_key bigint, embodiment string, batch_rank int, frames bigint, sketch array<float>")
+    assert {(r.a, r.b) for r in history.candidates(points, 20).collect()} == want
+
+
 # --- packing --------------------------------------------------------------------------------
 
 
