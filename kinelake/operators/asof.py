@@ -32,23 +32,39 @@ def asof_backward(events: DataFrame, records: DataFrame, keys: list[str], at: st
     return placed.join(carried, [*keys, "_b"], "left").withColumn("found", F.when(is_finite(F.col(at)), F.coalesce("_in", "_carried"))).drop("_in", "_carried", "_b")
 
 
+def repeated_times(frames: DataFrame) -> DataFrame:
+    """source_id, video, pts of times that two frames of a video share; a redelivered ``frame_id`` (where there is one) is one frame."""
+    if "frame_id" in frames.columns:
+        frame = F.coalesce("frame_id", F.lit(-1))
+        several = F.min(frame) != F.max(frame)
+    else:
+        several = F.count(F.lit(1)) > 1
+    return frames.where(is_finite(F.col("pts"))).groupBy("source_id", "video", "pts").agg(several.alias("several")).where("several").drop("several")
+
+
 def align_frames(anchors: DataFrame, episodes: DataFrame, frames: DataFrame) -> DataFrame:
     """Video time of each anchor, backward only: episode_key, frame_index, target, video_pts, age, reason.
 
     ``reason`` is null for a good anchor, else what fails: ``boundary`` (the target
     lies beyond the video's end), ``no_past_frame`` (none at or after the offset and
-    not later than the target) or ``stale`` (older than 1.5 periods). Round-off of a
-    microsecond is allowed on each side.
+    not later than the target), ``stale`` (older than 1.5 periods) or, on all other
+    anchors of the episode, ``non_increasing_pts`` (two frames between its offset and
+    last target have one time). Round-off of a microsecond is allowed on each side.
     """
     media = episodes.select("episode_key", "source_id", "video", "fps", F.coalesce("video_offset", F.lit(0.0)).alias("video_offset"), "video_end")
     ev = anchors.select("episode_key", "frame_index", "step_time").join(media, "episode_key").withColumn("target", F.col("step_time") + F.col("video_offset")).withColumn("latest", F.col("target") + TOLERANCE)
     got = asof_backward(ev, frames.select("source_id", "video", "pts"), ["source_id", "video"], "latest", "pts")
+    spans = ev.where(is_finite(F.col("target"))).groupBy("episode_key", "source_id", "video", "video_offset").agg(F.max("latest").alias("last"))
+    inside = (F.col("pts") >= F.col("video_offset") - TOLERANCE) & (F.col("pts") <= F.col("last"))
+    marked = spans.join(repeated_times(frames), ["source_id", "video"]).where(inside).select("episode_key").distinct().withColumn("repeats", F.lit(True))
+    got = got.join(marked, "episode_key", "left")
     seen = F.when(F.col("found") >= F.col("video_offset") - TOLERANCE, F.col("found"))
     age = F.col("target") - seen
     reason = (
         F.when(F.col("target") >= F.col("video_end") + TOLERANCE, "boundary")
         .when(seen.isNull(), "no_past_frame")
         .when(~F.coalesce(age <= F.try_divide(F.lit(1.5), F.col("fps")), F.lit(False)), "stale")
+        .when(F.col("repeats"), "non_increasing_pts")
     )
     return got.select("episode_key", "frame_index", "target", seen.alias("video_pts"), age.alias("age"), reason.alias("reason"))
 

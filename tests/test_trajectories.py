@@ -138,6 +138,18 @@ def test_frames_align_backward_with_reasons(spark):
     assert [got[3, i][1] for i in range(4)] == ["no_past_frame", "no_past_frame", None, "stale"]
 
 
+def test_frames_of_one_time_fail_the_episodes_that_hold_them(spark):
+    st = spark.createDataFrame([r for k in (1, 2, 3, 4) for r in steps(4, k)], STEP)
+    eps = spark.createDataFrame([episode(1), episode(2, video_offset=1.0), episode(3, video="again"), episode(4, video="after")], EPISODE)
+    fr = [(i + 100 * o, "s", "v", o + i / 20) for o in (0, 1) for i in range(4)] + [(50, "s", "v", 0.1)]  # 0.1 twice: in the first episode's part of the video only
+    fr += [(200 + i, "s", "again", i / 20) for i in range(4)] * 2  # redelivered
+    fr += [(300 + i, "s", "after", min(i, 4) / 20) for i in range(6)]  # 0.2 twice, after the last target
+    got = {k: set() for k in (1, 2, 3, 4)}
+    for r in asof.align_frames(st, eps, spark.createDataFrame(fr, "frame_id bigint, source_id string, video string, pts double")).collect():
+        got[r.episode_key].add(r.reason)
+    assert got == {1: {"non_increasing_pts"}, 2: {None}, 3: {None}, 4: {None}}
+
+
 def test_causal_language(spark):
     st = spark.createDataFrame([(1, i, t, [1.0], [1.0], "task", 0) for i, t in enumerate((-1.0, 1.0, 5.0))], STEP)
     notes = spark.createDataFrame([(1, 1, 0.0, "grasp"), (2, 1, 5.0, "release"), (3, 1, 5.0, "later row of the same moment")], "annotation_id bigint, episode_key bigint, said_at double, content string")
@@ -211,6 +223,11 @@ def test_registered_ledger_holds_a_source_to_its_channel_names(spark, tmp_path):
     assert got == {1: ("accepted", None), 2: ("quarantined", "contract"), 3: ("accepted", None)}
 
 
+def test_registered_ledger_refuses_frames_of_one_time(spark, tmp_path):
+    d = write_tables(spark, tmp_path, [None], [(i, "s", "v", i / 20) for i in range(4)] + [(9, "s", "v", 0.05)])
+    assert [(r.outcome, r.stage) for r in plans.episode_ledger(spark, d).collect()] == [("quarantined", "media")]
+
+
 def test_fingerprint_ignores_words_and_keeps_zeros_apart(spark):
     rows = steps(3, 1) + [(*r[:5], "other words", 0) for r in steps(3, 2)] + steps(3, 3, set={(0, 4): [-0.0, 1.0]}) + steps(3, 4, set={(0, 3): None}) + steps(3, 5, set={(0, 3): [NAN, 1.0]}) + steps(3, 6)
     eps = [episode(k, source_id=f"s{k}", embodiment="other" if k == 6 else "robot") for k in range(1, 7)]
