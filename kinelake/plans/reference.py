@@ -210,7 +210,10 @@ def action_chunks_edge_repeat(spark: SparkSession, d: str) -> DataFrame:
 ALIGN = """ev AS (SELECT an.episode_key, frame_index, ep.source_id, video, fps, coalesce(video_offset, 0) AS off, video_end, step_time + coalesce(video_offset, 0) AS target FROM an JOIN ep USING (episode_key)),
 fr AS (SELECT DISTINCT source_id, video, pts FROM frames WHERE isfinite(pts)),
 al AS (SELECT ev.*, CASE WHEN isfinite(target) AND fr.pts >= off - 1e-6 THEN fr.pts END AS seen FROM (SELECT *, CASE WHEN isfinite(target) THEN target + 1e-6 ELSE -1e300 END AS latest FROM ev) ev ASOF LEFT JOIN fr ON ev.source_id = fr.source_id AND ev.video = fr.video AND ev.latest >= fr.pts),
-alr AS (SELECT *, CASE WHEN target >= video_end + 1e-6 THEN 'boundary' WHEN seen IS NULL THEN 'no_past_frame' WHEN NOT coalesce(target - seen <= CASE WHEN fps <> 0 THEN 1.5 / fps END, false) THEN 'stale' END AS reason FROM al)"""
+rep AS (SELECT source_id, video, pts FROM frames WHERE isfinite(pts) GROUP BY ALL HAVING count(DISTINCT coalesce(frame_id, -1)) > 1),
+twice AS (SELECT DISTINCT episode_key FROM (SELECT episode_key, source_id, video, off, max(target) + 1e-6 AS upto FROM ev WHERE isfinite(target) GROUP BY ALL) JOIN rep USING (source_id, video) WHERE pts >= off - 1e-6 AND pts <= upto),
+alr AS (SELECT *, CASE WHEN target >= video_end + 1e-6 THEN 'boundary' WHEN seen IS NULL THEN 'no_past_frame' WHEN NOT coalesce(target - seen <= CASE WHEN fps <> 0 THEN 1.5 / fps END, false) THEN 'stale'
+  WHEN episode_key IN (FROM twice) THEN 'non_increasing_pts' END AS reason FROM al)"""
 
 
 @query(f"WITH {STEPS}, {EPISODES}, {ANCHORS}, {ALIGN} SELECT episode_key, frame_index, seen AS video_pts, reason FROM alr")
@@ -244,10 +247,14 @@ ACCEPTED_SQL = f"""{QUALITY_SQL}, {ANCHORS.replace('an AS', 'an0 AS')}, {THIN.fo
 med AS (SELECT episode_key, count(reason) = 0 AS media_ok FROM alr GROUP BY 1),
 fpr AS {FRAMES_TEXT},
 led0 AS (SELECT q.episode_key, q.source_id, q.origin_group, q.embodiment, q.errors = '' AS ok, coalesce(media_ok, false) AS media_ok, l, coalesce(batch_no, 2147483647) AS bn, episode_id, fps, success, s_most, a_most, state_names, action_names FROM qual q LEFT JOIN med USING (episode_key) LEFT JOIN fpr USING (episode_key)),
-led1 AS (SELECT *, row_number() OVER (ORDER BY bn, episode_key) AS ord FROM led0),
-led2 AS (SELECT *, min(CASE WHEN ok AND media_ok THEN ord END) OVER (PARTITION BY embodiment, l) AS a FROM led1),
-led AS (SELECT x.* EXCLUDE (l), CASE WHEN ok AND x.ord = a THEN 'accepted' WHEN ok AND x.ord > a THEN 'duplicate' ELSE 'quarantined' END AS outcome,
-  CASE WHEN NOT ok THEN 'quality' WHEN a IS NULL OR x.ord < a THEN 'media' END AS stage FROM led2 x),
+led1 AS MATERIALIZED (SELECT * EXCLUDE (l), row_number() OVER (ORDER BY bn, episode_key) AS ord, coalesce(source_id, '') AS sid, sha256(concat(embodiment, '|', l)) AS fp,
+  to_json([s_most::VARCHAR, a_most::VARCHAR, coalesce(state_names, [])::VARCHAR, coalesce(action_names, [])::VARCHAR])::VARCHAR AS contract FROM led0),
+told AS (SELECT 0::BIGINT AS ord, MAP {{}}::MAP(VARCHAR, VARCHAR) AS held, []::VARCHAR[] AS seen, NULL::VARCHAR AS outcome, NULL::VARCHAR AS stage
+  UNION ALL SELECT ord, CASE WHEN outcome = 'accepted' THEN map_concat(held, MAP {{sid: contract}}) ELSE held END, CASE WHEN outcome = 'accepted' THEN list_append(seen, fp) ELSE seen END, outcome, stage
+  FROM (SELECT *, CASE WHEN stage IS NOT NULL THEN 'quarantined' WHEN list_contains(seen, fp) THEN 'duplicate' ELSE 'accepted' END AS outcome
+    FROM (SELECT r.ord, held, seen, sid, contract, fp, CASE WHEN NOT ok THEN 'quality' WHEN held[sid] <> contract THEN 'contract' WHEN NOT media_ok AND NOT list_contains(seen, fp) THEN 'media' END AS stage
+      FROM told JOIN led1 r ON r.ord = told.ord + 1))),
+led AS (SELECT led1.*, outcome, stage FROM led1 JOIN told USING (ord)),
 acc AS (SELECT *, {SPLIT.format(g='origin_group')} AS split FROM led WHERE outcome = 'accepted')"""
 
 
@@ -279,7 +286,7 @@ def accepted_episodes(spark: SparkSession, d: str, st: DataFrame) -> DataFrame:
     return cut_lineage(episodes_of(spark, d).join(led, "episode_key", "left_semi").select("episode_key", "source_id", "episode_id", "embodiment", "fps", hashing.split_of(F.col("origin_group")).alias("split")))
 
 
-@query(f"WITH {ACCEPTED_SQL} SELECT episode_key, outcome, stage FROM led")
+@query(f"WITH RECURSIVE {ACCEPTED_SQL} SELECT episode_key, outcome, stage FROM led")
 def episode_ledger(spark: SparkSession, d: str) -> DataFrame:
     return ledger.decide(cut_lineage(compact_ledger(spark, d, clean_steps(spark, d)))).select("episode_key", "outcome", "stage")
 
@@ -290,7 +297,7 @@ lng AS (SELECT source_id, 'state' AS kind, unnest(generate_series(0, len(state)
 sts AS (SELECT source_id, kind, dim, avg(v) AS mean, greatest(stddev_pop(v), 1e-6) AS std, count(v) AS n FROM lng GROUP BY 1, 2, 3)"""
 
 
-@query(f"WITH {ACCEPTED_SQL}, {STATS_SQL} SELECT source_id, kind, dim, round(mean, 4) AS mean, round(std, 4) AS std, n AS \"count\" FROM sts")
+@query(f"WITH RECURSIVE {ACCEPTED_SQL}, {STATS_SQL} SELECT source_id, kind, dim, round(mean, 4) AS mean, round(std, 4) AS std, n AS \"count\" FROM sts")
 def stats_train_only(spark: SparkSession, d: str) -> DataFrame:
     st = clean_steps(spark, d)
     acc = accepted_episodes(spark, d, st).where("split = 'train'")
@@ -320,7 +327,7 @@ def zscore_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return _scored(spark, d).groupBy("label").agg(F.bool_and(F.forall(back, lambda x: x)).alias("restored"), F.sum(F.size("v")).alias("cells"))
 
 
-@query(f"""WITH {ACCEPTED_SQL}, {STATS_SQL}, w0 AS (SELECT ch.*, acc.split, acc.source_id AS src FROM (SELECT *, list(action) OVER (PARTITION BY episode_key ORDER BY frame_index ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING) AS chunk FROM st) ch
+@query(f"""WITH RECURSIVE {ACCEPTED_SQL}, {STATS_SQL}, w0 AS (SELECT ch.*, acc.split, acc.source_id AS src FROM (SELECT *, list(action) OVER (PARTITION BY episode_key ORDER BY frame_index ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING) AS chunk FROM st) ch
   JOIN acc USING (episode_key) SEMI JOIN an USING (episode_key, frame_index)),
 cells AS (SELECT episode_key, frame_index, src, split, len(chunk) AS valid, unnest(chunk) AS a FROM w0), c2 AS (SELECT *, unnest(generate_series(0, len(a) - 1)) AS dim, unnest(a) AS v FROM cells),
 sc AS (SELECT episode_key, frame_index, unnest(generate_series(0, len(state) - 1)) AS dim, unnest(state) AS v, src FROM w0),
@@ -336,12 +343,12 @@ def windows_normalized(spark: SparkSession, d: str) -> DataFrame:
     return w.select("episode_key", "anchor_index", "source_id", "split", F.round(total(F.flatten("actions").cast("array<double>")), 2).alias("actions"), F.round(total(F.col("state").cast("array<double>")), 2).alias("state"), F.size(F.filter("action_mask", lambda m: m[0])).alias("valid"))
 
 
-@query(f"WITH {ACCEPTED_SQL}, n AS (SELECT source_id, count(*) AS accepted, count(*) FILTER (split = 'train') AS train FROM acc GROUP BY 1) SELECT s.source_id, coalesce(accepted, 0) AS accepted, coalesce(train, 0) AS train, CASE WHEN accepted IS NULL THEN 'no_eligible_episodes' WHEN train = 0 THEN 'no_train_split' ELSE 'interface_smoke_only' END AS view_status FROM (SELECT DISTINCT source_id FROM sources) s LEFT JOIN n USING (source_id)")
+@query(f"WITH RECURSIVE {ACCEPTED_SQL}, n AS (SELECT source_id, count(*) AS accepted, count(*) FILTER (split = 'train') AS train FROM acc GROUP BY 1) SELECT s.source_id, coalesce(accepted, 0) AS accepted, coalesce(train, 0) AS train, CASE WHEN accepted IS NULL THEN 'no_eligible_episodes' WHEN train = 0 THEN 'no_train_split' ELSE 'interface_smoke_only' END AS view_status FROM (SELECT DISTINCT source_id FROM sources) s LEFT JOIN n USING (source_id)")
 def no_train_split_status(spark: SparkSession, d: str) -> DataFrame:
     return stats.view_status(accepted_episodes(spark, d, clean_steps(spark, d)), table(spark, d, "sources"))
 
 
-@query(f"WITH {ACCEPTED_SQL} SELECT source_id, split, count(*) AS episodes, sum(frames) AS frames, sum(windows) AS windows FROM acc JOIN (SELECT episode_key, count(*) AS windows, any_value(frames) AS frames FROM an GROUP BY 1) USING (episode_key) GROUP BY ROLLUP (source_id, split)")
+@query(f"WITH RECURSIVE {ACCEPTED_SQL} SELECT source_id, split, count(*) AS episodes, sum(frames) AS frames, sum(windows) AS windows FROM acc JOIN (SELECT episode_key, count(*) AS windows, any_value(frames) AS frames FROM an GROUP BY 1) USING (episode_key) GROUP BY ROLLUP (source_id, split)")
 def source_report(spark: SparkSession, d: str) -> DataFrame:
     """Accepted episodes, frames and windows by source and split, with subtotals."""
     st = clean_steps(spark, d)
