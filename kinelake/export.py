@@ -75,6 +75,7 @@ def export(spark: SparkSession, release: str | Path, raw_root: str | Path, sourc
         count, total = back.count(), steps.count()
         if count != total:
             raise ValueError("the export reads back with another number of frames")
+        # fixed values: the receipt's keys, schema and file name, and the names of the columnar layout above
         receipt.update({"schema": "lerobot_export_receipt_v1", "release_id": manifest["release_id"], "source_id": source, "split": split, "frames": total, "episodes": len(ranks), "normalization": "native_unnormalized", "deployment_ready": False})
         save_json(work / "pipeline_export_receipt.json", receipt)
 

@@ -16,33 +16,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinelake.functions.hashing import capture_id
+from kinelake.functions.rules import ANY, Rule, require, values_at
 from kinelake.functions.vectors import all_finite, is_blank, is_finite
 from kinelake.sources.files import inside, publish, read_json, save_json, sha256_file
 
-REQUIRED = ("id", "revision", "embodiment", "origin_namespace", "license", "environment", "collection")
-MODES = ("nominal_index", "measured_timestamp")
+MAPPING = [
+    *(Rule(f"source.{name}", ANY) for name in ("id", "revision", "embodiment", "origin_namespace", "license", "environment", "collection")),
+    *(Rule(f"{kind}_fields[+].{part}", ANY, distinct) for kind in ("state", "action") for part, distinct in (("path", False), ("unit", False), ("names[+]", True))),
+    Rule("camera", ANY),
+    Rule("action_contract", r"(?s)(?!\{\}).+"),
+    Rule("timing.mode", "nominal_index|measured_timestamp"),
+]
+#: What else holds for one clock, and for the status that an import may claim.
+MEASURED = [Rule("timing.clock_id", ANY), Rule("timing.path", ANY)]
+STATUS = [Rule("source.semantics_status", "unknown")]
 
 
 def check_mapping(mapping: dict) -> None:
-    source = mapping["source"]
-    absent = [k for k in REQUIRED if not source.get(k)]
-    if absent:
-        raise ValueError(f"the mapping's source lacks {', '.join(absent)}")
-    if source.get("semantics_status", "unknown") != "unknown":
-        raise ValueError("an import cannot verify semantics")
-    for kind in ("state_fields", "action_fields"):
-        fields = mapping[kind]
-        names = [n for f in fields for n in f.get("names") or []]
-        if not fields or not all(f.get("path") and f.get("names") and f.get("unit") for f in fields):
-            raise ValueError(f"{kind}: each field needs a path, names and a unit")
-        if len(set(names)) != len(names) or not all(isinstance(n, str) and n for n in names):
-            raise ValueError(f"{kind}: names must be unique and not empty")
-    if not mapping.get("camera") or not mapping.get("action_contract"):
-        raise ValueError("the mapping needs a camera and an action_contract")
-    if mapping["timing"]["mode"] not in MODES:
-        raise ValueError(f"timing mode must be one of {MODES}")
-    if mapping["timing"]["mode"] == "measured_timestamp" and not mapping["timing"].get("clock_id"):
-        raise ValueError("measured timestamps need a clock_id")
+    """Refuse a mapping that breaks a rule; every breach is named. A status that is not given counts as unknown."""
+    rules = MAPPING + (MEASURED if values_at(mapping, "timing.mode") == ["measured_timestamp"] else []) + (STATUS if "semantics_status" in mapping["source"] else [])
+    require(mapping, rules, "mapping")
 
 
 def _field(path: str) -> Column:
@@ -156,6 +149,7 @@ def import_captures(spark: SparkSession, source_dir: str | Path, mapping_path: s
                 told.append({"episode_id": r["episode_id"], "original_json": f"original/{r['rel']}", "records": len(r["steps"]), "fps": r["fps"], "success": success, "origin_group": group})
         finally:
             rows.unpersist()
+        # fixed values: the receipt's keys and schema, the names of the batch's files
         receipt.update({"schema": "unitree_import_receipt_v1", "mapping_sha256": mapped, "original_files": originals, "episodes": told, "deployment_ready": False})
         save_json(work / "conversion.json", receipt)
         names = {f"{k}_names": [n for f in mapping[f"{k}_fields"] for n in f["names"]] for k in ("state", "action")}

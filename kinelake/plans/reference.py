@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kinelake.functions import hashing, vectors
+from kinelake.functions import hashing, rules, vectors
 from kinelake.operators import asof, ledger, quality, stats
 from kinelake.operators import trajectories as tr
 from kinelake.session import cut_lineage, table
@@ -465,3 +465,16 @@ def colliding_source_ids(spark: SparkSession, d: str) -> DataFrame:
     """Source ids that are equal but for case: none may be registered together."""
     s = table(spark, d, "sources").select("source_id").distinct()
     return s.groupBy(F.lower("source_id").alias("folded")).agg(F.count(F.lit(1)).alias("ids")).where("ids > 1")
+
+
+@query("""WITH s AS (SELECT DISTINCT source_id, revision, origin_namespace, license FROM sources)
+SELECT source_id, revision, array_to_string(list_filter([
+  CASE WHEN NOT coalesce(regexp_full_match(source_id, '[A-Za-z0-9_-]+') AND NOT regexp_full_match(upper(source_id), 'CON|PRN|AUX|NUL|(COM|LPT)[1-9]'), false) THEN 'id' END,
+  CASE WHEN NOT coalesce(regexp_full_match(revision, '[A-Za-z0-9_.-]+') AND NOT ends_with(revision, '.'), false) THEN 'revision' END,
+  CASE WHEN coalesce(trim(origin_namespace), '') = '' THEN 'origin_namespace' END, CASE WHEN coalesce(trim(license), '') = '' THEN 'license' END], lambda x: x IS NOT NULL), ',') AS faults FROM s""")
+def lock_faults(spark: SparkSession, d: str) -> DataFrame:
+    """Which rules of a source lock each delivered batch breaks."""
+    told = {"source_id": "sources[].id", "revision": "sources[].revision", "origin_namespace": "sources[].origin_namespace", "license": "sources[].license"}
+    pattern = {r.path: r.pattern for r in rules.LOCK}
+    faults = F.array_compact(F.array(*(F.when(~rules.matches(F.col(c), pattern[p]), p.rpartition(".")[2]) for c, p in told.items())))
+    return table(spark, d, "sources").select(*told).distinct().select("source_id", "revision", F.array_join(faults, ",").alias("faults"))

@@ -8,13 +8,18 @@ import os
 import shutil
 import tempfile
 import urllib.request
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
 from pathlib import Path
+from urllib.parse import quote
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PIECE = 1 << 20
+DIGEST = "path string, bytes bigint, sha256 string"
 
 
 def sha256_file(path: Path) -> str:
@@ -91,10 +96,59 @@ def obtain(url: str, path: Path, most_bytes: int, sha256: str | None = None, off
     return {"bytes": size, "sha256": digest}
 
 
-def digests(spark: SparkSession, folder: str) -> DataFrame:
-    """path, bytes, sha256 of every file under ``folder``, computed by the executors."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(str(folder))
-    return files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+def digests(spark: SparkSession, folder: str | Path) -> DataFrame:
+    """path (below ``folder``), bytes, sha256 of every file there, hashed piece by piece by the executors; a missing folder has none."""
+    base, remote = str(folder), "://" in str(folder)
+    if not remote and not Path(base).is_dir():
+        return spark.createDataFrame([], DIGEST)
+    base = base if remote else str(Path(base).resolve())
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base).select("path", "length")
+    start = len(_located(base if remote else f"file:{base}")[1].rstrip("/")) + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for uri, size in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                system, path = _located(uri)
+                total = hashlib.sha256()
+                with system.open_input_stream(path) as f:
+                    while piece := f.read(PIECE):
+                        total.update(piece)
+                rows.append((path[start:], size, total.hexdigest()))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=["path", "bytes", "sha256"])
+
+    return listed.mapInArrow(run, DIGEST)
+
+
+def _located(uri: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of a URI as Spark writes it, with its special characters unescaped."""
+    scheme, _, rest = uri.partition(":")
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return fs.FileSystem.from_uri(f"{scheme}:{quote(rest)}")
+
+
+def copied(plan: DataFrame, source: Path, target: Path) -> None:
+    """Copy the files of ``plan`` (path, bytes, sha256) by the executors; a copy with another digest fails and leaves nothing."""
+    source, target = Path(source).resolve(), Path(target).resolve()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rel, want in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                to = inside(target, rel)
+                to.parent.mkdir(parents=True, exist_ok=True)
+                part = to.with_name(f".{to.name}.{uuid.uuid4().hex}.part")
+                try:
+                    shutil.copy2(inside(source, rel), part)
+                    if sha256_file(part) != want:
+                        raise ValueError(f"changed while it was copied: {rel}")
+                    part.replace(to)
+                finally:
+                    part.unlink(missing_ok=True)
+            yield batch
+
+    plan.select("path", "sha256").mapInArrow(run, "path string, sha256 string").count()
 
 
 def lock_mismatches(observed: DataFrame, lock_files: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from kinelake import cli, export, importer, register, release
 from kinelake.dataset import WindowDataset
+from kinelake.functions import rules
 from kinelake.sources import files, readers
 from kinelake.streaming import arrivals
 
@@ -284,3 +285,24 @@ def test_command_line_verifies(built, capsys):
     assert json.loads(capsys.readouterr().out)["release_id"] == m["release_id"]
     with pytest.raises(SystemExit):
         cli.main(["export-lerobot", "--release", "r", "--raw-root", "x", "--source", "s", "--output", "o", "--split", "test"])
+
+
+def test_rules_judge_documents_and_columns_alike(spark):
+    names = ["a-b_1", "", "a b", "CON", "com7", "console", "x\n", "é", None]
+    want = [True, False, False, False, False, True, False, False, False]
+    assert [not rules.broken({"sources": [{"id": n}]}, rules.LOCK[:1]) for n in names] == want
+    rows = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, n string").select("i", rules.matches(F.col("n"), rules.NAME).alias("ok")).orderBy("i").collect()
+    assert [r.ok for r in rows] == want
+    paths = {"a/b.json": True, "../a": False, "a/../b": False, "/a": False, "a//b": False, "a\\b": False, "..a/b..": True}
+    assert {p: not rules.broken({"sources": [{"files": [{"path": p}]}]}, rules.LOCK[4:5]) for p in paths} == paths
+    assert rules.values_at({"a": []}, "a[+].b") == [None] and rules.values_at({"a": []}, "a[].b") == []
+
+
+def test_digests_and_copies_of_many_files(spark, tmp_path):
+    for i in range(5):
+        (tmp_path / f"in/{i % 2}").mkdir(parents=True, exist_ok=True)
+        (tmp_path / f"in/{i % 2}/{i} x.bin").write_bytes(bytes([i]) * 3_000_000 * i)
+    seen = files.digests(spark, tmp_path / "in")
+    assert {r.path: (r.bytes, r.sha256) for r in seen.collect()} == {p.relative_to(tmp_path / "in").as_posix(): (p.stat().st_size, files.sha256_file(p)) for p in (tmp_path / "in").rglob("*.bin")}
+    files.copied(seen, tmp_path / "in", tmp_path / "out")
+    assert files.digests(spark, tmp_path / "out").exceptAll(seen).count() == 0 and files.digests(spark, tmp_path / "none").count() == 0
