@@ -11,7 +11,6 @@ import urllib.request
 import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
-from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -97,36 +96,29 @@ def obtain(url: str, path: Path, most_bytes: int, sha256: str | None = None, off
 
 
 def digests(spark: SparkSession, folder: str | Path) -> DataFrame:
-    """path (below ``folder``), bytes, sha256 of every file there, hashed piece by piece by the executors; a missing folder has none."""
-    base, remote = str(folder), "://" in str(folder)
-    if not remote and not Path(base).is_dir():
-        return spark.createDataFrame([], DIGEST)
-    base = base if remote else str(Path(base).resolve())
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base).select("path", "length")
-    start = len(_located(base if remote else f"file:{base}")[1].rstrip("/")) + 1
+    """path (below ``folder``), bytes, sha256 of every file there, empty and hidden ones too; a missing folder has none.
+
+    ``folder`` is a path or a URI of a shared file system. The driver only lists it;
+    executors hash piece by piece, so a file may have any size.
+    """
+    system, base = fs.FileSystem.from_uri(str(folder)) if "://" in str(folder) else (fs.LocalFileSystem(), str(Path(folder).resolve()))
+    found = system.get_file_info(fs.FileSelector(base, recursive=True, allow_not_found=True))
+    listed = [(f.path[len(base.rstrip("/")) + 1 :], f.size) for f in found if f.type == fs.FileType.File]
+    slices = max(1, min(len(listed), 4 * spark.sparkContext.defaultParallelism))
+    rows = spark.createDataFrame(listed, "path string, bytes bigint").repartition(slices)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for uri, size in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                system, path = _located(uri)
+            digest = []
+            for rel in batch.column(0).to_pylist():
                 total = hashlib.sha256()
-                with system.open_input_stream(path) as f:
+                with system.open_input_stream(f"{base}/{rel}") as f:
                     while piece := f.read(PIECE):
                         total.update(piece)
-                rows.append((path[start:], size, total.hexdigest()))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=["path", "bytes", "sha256"])
-
-    return listed.mapInArrow(run, DIGEST)
-
+                digest.append(total.hexdigest())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digest, pa.string())], names=["path", "bytes", "sha256"])
 
-def _located(uri: str) -> tuple[fs.FileSystem, str]:
-    """File system and path of a URI as Spark writes it, with its special characters unescaped."""
-    scheme, _, rest = uri.partition(":")
-    if scheme == "file":
-        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
-    return fs.FileSystem.from_uri(f"{scheme}:{quote(rest)}")
+    return rows.mapInArrow(run, DIGEST)
 
 
 def copied(plan: DataFrame, source: Path, target: Path) -> None:
