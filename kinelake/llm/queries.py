@@ -20,6 +20,11 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return found.select("episode_key_a", "episode_key_b")
 
 
+def p2_new_batch(spark: SparkSession, d: str) -> DataFrame:
+    """The last third of the deliveries as one new batch against the stored index of the ones before (added in two batches): its links."""
+    return history.replayed_batch(table(spark, d, "steps"), table(spark, d, "episodes"), table(spark, d, "sources"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return families.torn_families(table(spark, d, "episodes"))
 
@@ -50,7 +55,7 @@ def p10_segments(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p2_found, p6_found, p6_splits, p8_pack, p9_draws, p9_report, p10_found, p10_segments)
+    f.__name__: f for f in (p1_found, p2_found, p2_new_batch, p6_found, p6_splits, p8_pack, p9_draws, p9_report, p10_found, p10_segments)
 }
 
 EPISODE_FAMILIES = r"""
@@ -69,7 +74,36 @@ reach AS (
 fam AS (SELECT a AS episode_key, min(b) AS family_key FROM reach GROUP BY 1)
 """
 
+# every pair of like length of one embodiment, frame against frame: the longest common subsequence is the longest rising run of partners
+REPEATS = """
+WITH RECURSIVE e AS (
+  SELECT episode_key, any_value(x.embodiment) AS embodiment, min(coalesce(batch_no, 2147483647)) AS batch_no, any_value(lim) AS lim
+  FROM episodes x LEFT JOIN sources USING (source_id, revision) LEFT JOIN (SELECT source_id, max(joint_limit) AS lim FROM sources GROUP BY 1) USING (source_id)
+  WHERE x.embodiment IS NOT NULL GROUP BY 1),
+f AS MATERIALIZED (
+  SELECT episode_key, embodiment, lim * 0.001 * (1 + 1e-9) AS tol, n, row_number() OVER (PARTITION BY episode_key ORDER BY frame_index) AS i,
+         list_transform(list_concat(list_resize(coalesce(state, []), 16), list_resize(coalesce(action, []), 16)), lambda v: CASE WHEN v IS NULL THEN 1e300 WHEN isnan(v) THEN 2e300 WHEN isinf(v) THEN sign(v) * 3e300 ELSE v END) AS v
+  FROM (SELECT DISTINCT ON (episode_key, frame_index) * FROM steps WHERE episode_key IS NOT NULL AND frame_index IS NOT NULL)
+  JOIN (SELECT episode_key, count(DISTINCT frame_index) AS n FROM steps GROUP BY 1) USING (episode_key) JOIN e USING (episode_key) WHERE lim > 0),
+cell AS (
+  SELECT a.episode_key AS a, b.episode_key AS b, any_value(greatest(a.n, b.n)) AS most, a.i, list([b.i] ORDER BY b.i DESC) AS js
+  FROM f a JOIN f b ON a.embodiment = b.embodiment AND a.episode_key < b.episode_key AND least(a.n, b.n) >= 0.8 * greatest(a.n, b.n) - 1e-9
+    AND a.v[1] BETWEEN b.v[1] - b.tol AND b.v[1] + b.tol AND abs(a.v[2] - b.v[2]) <= a.tol
+  WHERE list_bool_and(list_transform(list_zip(a.v, b.v), lambda p: abs(p[1] - p[2]) <= a.tol)) GROUP BY a.episode_key, b.episode_key, a.i),
+run AS (
+  SELECT a, b, any_value(most) AS most, list_reduce(flatten(list(js ORDER BY i)), lambda tails, j: list_concat(list_concat(list_filter(tails, lambda t: t < j[1]), j), list_filter(tails, lambda t: t >= j[1])[2:])) AS tails
+  FROM cell GROUP BY 1, 2),
+link AS MATERIALIZED (SELECT a, b FROM run WHERE len(tails) >= 0.8 * most - 1e-9)
+"""
+
 ORACLES: dict[str, str] = {
+    "p2_found": REPEATS + """,
+reach AS (SELECT a AS x, b AS y FROM link UNION SELECT b, a FROM link UNION SELECT r.x, l.y FROM reach r JOIN (SELECT a AS x, b AS y FROM link UNION SELECT b, a FROM link) l ON r.y = l.x),
+fam AS (SELECT x AS episode_key, arg_min(y, (batch_no, y)) AS first FROM reach JOIN e ON e.episode_key = y GROUP BY 1)
+SELECT least(episode_key, first) AS episode_key_a, greatest(episode_key, first) AS episode_key_b FROM fam WHERE episode_key <> first""",
+    "p2_new_batch": REPEATS + """,
+cut AS (SELECT *, batch_no > (SELECT max(batch_no) FROM e WHERE batch_no < 2147483647) * 2 // 3 AS new FROM e)
+SELECT a AS episode_key_a, b AS episode_key_b FROM link JOIN cut x ON x.episode_key = a JOIN cut y ON y.episode_key = b WHERE x.new OR y.new""",
     "p1_found": """
 WITH e AS (SELECT episode_key, any_value(source_id) AS source_id, any_value(video) AS video,
                   coalesce(any_value(video_offset), 0) AS off, any_value(video_end) AS ve FROM episodes GROUP BY 1),
