@@ -42,7 +42,13 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return spikes.implausible_components(table(spark, d, "steps"), table(spark, d, "sources"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p3_found, p3_grid, p4_found, p4_features, p5_found, p7_found)}
+def p7_limits(spark: SparkSession, d: str) -> DataFrame:
+    """The flags that have a definition: values beyond the limit or not finite, and stuck runs."""
+    found = spikes.implausible(table(spark, d, "steps"), table(spark, d, "sources"))
+    return found.where("kind in ('limit', 'stuck')").select("episode_key", "frame_index", "field", "dim", "kind")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p3_found, p3_grid, p4_found, p4_features, p5_found, p7_found, p7_limits)}
 
 ORACLES: dict[str, str] = {
     "p3_found": """
@@ -56,6 +62,14 @@ z AS (SELECT episode_key, min(t) AS t0 FROM f GROUP BY 1),
 s AS (SELECT DISTINCT episode_key, floor((t - t0) * fps + 0.5)::BIGINT AS slot FROM f JOIN z USING (episode_key)),
 g AS (SELECT episode_key, unnest(generate_series(0, max(slot))) AS slot FROM s GROUP BY 1)
 SELECT g.episode_key, g.slot FROM g ANTI JOIN s USING (episode_key, slot)""",
+    "p7_limits": """
+WITH s AS (SELECT DISTINCT ON (episode_key, frame_index) * FROM steps WHERE episode_key IS NOT NULL AND frame_index IS NOT NULL),
+c AS (SELECT source_id, episode_key, frame_index, 'state' AS field, unnest(range(0, len(state) - 1))::INT AS dim, unnest(state[:-2]) AS v FROM s
+      UNION ALL SELECT source_id, episode_key, frame_index, 'action', unnest(range(0, len(action) - 1))::INT, unnest(action[:-2]) FROM s),
+l AS (SELECT source_id, max(joint_limit) AS lim FROM sources GROUP BY 1),
+r AS (SELECT *, NOT coalesce(isfinite(v) AND (lim IS NULL OR abs(v) <= lim), false) AS beyond, frame_index - row_number() OVER (PARTITION BY episode_key, field, dim, v ORDER BY frame_index) AS run FROM c LEFT JOIN l USING (source_id)),
+n AS (SELECT *, count(*) OVER (PARTITION BY episode_key, field, dim, v, run) AS times FROM r)
+SELECT episode_key, frame_index, field, dim, CASE WHEN beyond THEN 'limit' ELSE 'stuck' END AS kind FROM n WHERE beyond OR times >= 8""",
     "p5_found": """
 WITH s AS (SELECT DISTINCT episode_key, frame_index, step_time FROM steps WHERE isfinite(step_time)),
 a AS (SELECT DISTINCT annotation_id, episode_key, said_at, known_at FROM annotations
