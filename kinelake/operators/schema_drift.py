@@ -17,8 +17,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-FEATURE = T.StructType([T.StructField("name", T.StringType()), T.StructField("dtype", T.StringType()), T.StructField("shape", T.StringType())])
-PARSED = T.StructType([T.StructField("readable", T.BooleanType()), T.StructField("version", T.StringType()), T.StructField("features", T.ArrayType(FEATURE))])
 CHANGE = T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in ("field", "change", "was")]))
 
 #: Spellings of one type.
@@ -85,13 +83,40 @@ def parse_payload(text: str | None) -> tuple[bool, str | None, list[tuple[str, s
         if isinstance(name, str):
             spec = spec if isinstance(spec, dict) else {"dtype": spec}
             found[name] = (name, canonical_type(spec.get("dtype")), canonical_shape(spec.get("shape")))
-    return True, canonical_version(inner.get("codebase_version", doc.get("codebase_version"))), sorted(found.values())
+    version = inner.get("codebase_version")
+    return True, canonical_version(doc.get("codebase_version") if version is None else version), sorted(found.values())
 
 
-@F.pandas_udf(PARSED)
-def _parse(payload: pd.Series) -> pd.DataFrame:
-    rows = [parse_payload(x) for x in payload]
-    return pd.DataFrame({"readable": [r[0] for r in rows], "version": [r[1] for r in rows], "features": [[{"name": n, "dtype": d, "shape": s} for n, d, s in r[2]] for r in rows]})
+def _typed(text: Column) -> Column:
+    flat = F.lower(F.trim(text))
+    names = F.create_map(*(F.lit(v) for pair in TYPE_NAMES.items() for v in pair))
+    return F.coalesce(names[flat], flat)
+
+
+def _numbers(text: Column) -> Column:
+    """The whole numbers of a shape's JSON or text, in order."""
+    found = F.regexp_extract_all(F.regexp_replace(text, r"\.0+(?![0-9])", ""), F.lit("[0-9]+"), 0)
+    return F.coalesce(F.array_join(F.transform(found, lambda x: F.regexp_replace(x, "^0+(?=[0-9])", "")), ","), F.lit(""))
+
+
+def parsed(payload: Column) -> Column:
+    """The same as ``parse_payload`` for a column: readable, version, features; all by the JVM."""
+    doc = F.try_parse_json(payload)
+    at = lambda v, path, kind: F.try_variant_get(v, path, kind)
+
+    def feature(name: Column, spec: Column) -> Column:
+        plain = F.when(~F.schema_of_variant(spec).startswith("OBJECT") & ~F.schema_of_variant(spec).startswith("ARRAY"), at(spec, "$", "string"))
+        return F.struct(name.alias("name"), _typed(F.coalesce(at(spec, "$.dtype", "string"), plain)).alias("dtype"), _numbers(at(spec, "$.shape", "string")).alias("shape"))
+
+    mapped = F.coalesce(at(doc, "$.features", "map<string,variant>"), at(doc, "$.metadata.features", "map<string,variant>"))
+    listed = F.coalesce(at(doc, "$.features", "array<variant>"), at(doc, "$.metadata.features", "array<variant>"))
+    objects = F.filter(listed, lambda x: F.schema_of_variant(x).startswith("OBJECT"))
+    of_list = F.transform(objects, lambda x: feature(F.coalesce(at(x, "$.key", "string"), at(x, "$.name", "string")), x))
+    of_map = F.transform(F.map_entries(mapped), lambda e: feature(e["key"], e["value"]))
+    every = F.coalesce(of_map, of_list)
+    last = F.filter(every, lambda x, i: x["name"].isNotNull() & (F.array_position(F.reverse(F.transform(every, lambda y: y["name"])), x["name"]) == F.size(every) - i))
+    version = F.trim(F.coalesce(at(doc, "$.metadata.codebase_version", "string"), at(doc, "$.codebase_version", "string")))
+    return F.struct(every.isNotNull().alias("readable"), F.regexp_replace(version, "^[vV](?=[0-9])", "").alias("version"), F.array_sort(last).alias("features"))
 
 
 def _grams(name: str) -> set[str]:
@@ -183,9 +208,9 @@ def _compare(pair: pd.DataFrame) -> pd.Series:
 
 def feature_table(inspections: DataFrame) -> DataFrame:
     """One row per readable file: inspection_id, dataset_id, inspected_at, version, features (canonical)."""
-    once = inspections.groupBy("inspection_id").agg(*(F.first(c).alias(c) for c in ("dataset_id", "inspected_at", "payload")))
-    parsed = once.where(F.col("payload").isNotNull()).withColumn("p", _parse("payload")).where("p.readable")
-    return parsed.select("inspection_id", "dataset_id", "inspected_at", F.col("p.version").alias("version"), F.col("p.features").alias("features"))
+    once = inspections.groupBy("inspection_id").agg(F.max(F.struct("dataset_id", "inspected_at", "payload")).alias("f")).select("inspection_id", "f.*")
+    read = once.where(F.col("payload").isNotNull()).withColumn("p", parsed(F.col("payload"))).where("p.readable")
+    return read.select("inspection_id", "dataset_id", "inspected_at", F.col("p.version").alias("version"), F.col("p.features").alias("features"))
 
 
 def with_previous(files: DataFrame, bucket: Column) -> DataFrame:
@@ -216,43 +241,48 @@ def schema_changes(inspections: DataFrame) -> DataFrame:
     ignored; an empty table gives none.
     """
     paired = with_previous(feature_table(inspections), F.date_format("inspected_at", "yyyy-MM")).where(F.col("previous").isNotNull())
+    # only files that differ from the one before are matched
+    paired = paired.where(~(F.col("previous.features") == F.col("features")) | ~F.col("previous.version").eqNullSafe(F.col("version")))
     pair = F.struct(F.col("previous.features").alias("old"), F.col("features").alias("new"), F.col("previous.version").alias("old_version"), F.col("version").alias("new_version"))
     changes = paired.select("inspection_id", "dataset_id", F.explode(_compare(pair)).alias("c"))
     return changes.select("inspection_id", "dataset_id", "c.field", "c.change", "c.was")
 
 
 def profile_columns(df: DataFrame, sketch_size: int = 16) -> DataFrame:
-    """A value sketch per column of a real table: type, share of nulls, and the smallest value hashes.
+    """A value sketch per column of a real table: type, share of nulls, mean width, share of distinct values, and the smallest value hashes.
 
     The bottom-k hashes estimate the overlap of two columns' values whatever the
-    columns are called. Columns: name, dtype, nulls, sketch.
+    columns are called; width and distinctness compare columns whose values never
+    recur. Columns: name, dtype, nulls, width, distinct, sketch.
     """
     parts = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
-        h = F.xxhash64(c.cast("string") if not isinstance(f.dataType, (T.MapType, T.StructType, T.ArrayType)) else F.to_json(c))
-        parts.append(F.struct(F.lit(f.name).alias("name"), F.lit(canonical_type(f.dataType.simpleString())).alias("dtype"), c.isNull().alias("isnull"), h.alias("h")))
+        text = c.cast("string") if not isinstance(f.dataType, (T.MapType, T.StructType, T.ArrayType)) else F.to_json(c)
+        parts.append(F.struct(F.lit(f.name).alias("name"), F.lit(canonical_type(f.dataType.simpleString())).alias("dtype"), c.isNull().alias("isnull"), F.length(text).alias("w"), F.xxhash64(text).alias("h")))
     long = df.select(F.explode(F.array(*parts)).alias("v")).select("v.*")
-    kinds = long.groupBy("name", "dtype").agg(F.avg(F.col("isnull").cast("double")).alias("nulls"))
+    kinds = long.groupBy("name", "dtype").agg(F.avg(F.col("isnull").cast("double")).alias("nulls"), F.coalesce(F.avg("w"), F.lit(0.0)).alias("width"), F.try_divide(F.approx_count_distinct(F.when(~F.col("isnull"), F.col("h"))).cast("double"), F.count("w")).alias("distinct"))
     hashes = long.where(~F.col("isnull")).select("name", "h").distinct().withColumn("r", F.row_number().over(Window.partitionBy("name").orderBy("h"))).where(F.col("r") <= sketch_size)
     return kinds.join(hashes.groupBy("name").agg(F.array_sort(F.collect_list("h")).alias("sketch")), "name", "left")
 
 
+def column_likeness(a: dict, b: dict) -> float:
+    """How alike two profiled columns are, 0 to 1: values, names, type, and the shape of the values."""
+    sa, sb = set(a.get("sketch") or ()), set(b.get("sketch") or ())
+    k = max(min(len(sa), len(sb)), 1)
+    overlap = len(set(sorted(sa | sb)[:k]) & sa & sb) / k
+    wa, wb = (1.0 + (c.get("width") or 0.0) for c in (a, b))
+    shape = min(wa, wb) / max(wa, wb) * (1.0 - abs((a.get("distinct") or 0.0) - (b.get("distinct") or 0.0)))
+    return 0.35 * overlap + 0.25 * name_similarity(a["name"], b["name"]) + 0.15 * (a["dtype"] == b["dtype"]) + 0.25 * max(shape, 0.0)
+
+
 def match_columns(old: list[dict], new: list[dict], least: float = 0.5) -> dict[str, str]:
-    """Map old column names to new ones: same names first, then a matching on sketch overlap and name similarity."""
+    """Map old column names to new ones: same names first, then a minimum-cost matching of the rest by their likeness."""
     names_old, names_new = {c["name"] for c in old}, {c["name"] for c in new}
     mapping = {n: n for n in sorted(names_old & names_new)}
     gone, come = [c for c in old if c["name"] not in mapping], [c for c in new if c["name"] not in mapping]
-    cost = np.full((len(gone), len(come)), np.inf)
-    for i, a in enumerate(gone):
-        for j, b in enumerate(come):
-            sa, sb = set(a.get("sketch") or ()), set(b.get("sketch") or ())
-            k = max(min(len(sa), len(sb)), 1)
-            overlap = len(set(sorted(sa | sb)[:k]) & sa & sb) / k
-            score = 0.5 * overlap + 0.3 * name_similarity(a["name"], b["name"]) + 0.2 * (a["dtype"] == b["dtype"])
-            if score >= least:
-                cost[i, j] = 1 - score
-    mapping.update({gone[i]["name"]: come[j]["name"] for i, j in assignment(cost)})
+    likeness = np.array([[column_likeness(a, b) for b in come] for a in gone]).reshape(len(gone), len(come))
+    mapping.update({gone[i]["name"]: come[j]["name"] for i, j in assignment(np.where(likeness >= least, 1 - likeness, np.inf))})
     return mapping
 
 

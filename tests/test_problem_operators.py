@@ -275,3 +275,27 @@ def test_autoregression_recovers_coefficients(spark):
         x[i] = 1.2 * x[i - 1] - 0.4 * x[i - 2] + rng.normal(0, 0.5)
     model = {r.source_id: r.model for r in spikes.autoregression(spikes._keyed(spark.createDataFrame(as_rows(1, x), STEP), 4096)).collect()}["s"][0]
     assert 1.0 < model.phi1 < 1.5 and 0.3 < model.sigma < 0.6
+
+
+def test_columns_parse_like_documents(spark):
+    """The JVM's parser and the one for a single document agree on every layout."""
+    layouts = [
+        {"metadata": {"codebase_version": "v2.1"}, "features": [{"key": "a", "dtype": "double", "shape": "[08]"}, {"name": "b", "dtype": " STR", "shape": 1}, {"key": "a", "dtype": "int64", "shape": []}, {"dtype": "x"}, 3]},
+        {"codebase_version": " V3.0", "features": {"z": {"dtype": "float64", "shape": [8.0, 2]}, "y": "video", "x": {"shape": "480x640x3"}, "w": None}},
+        {"metadata": {"features": {"a": {"dtype": "bool", "shape": [1]}}, "codebase_version": None}, "codebase_version": 2},
+        {"features": []}, {"features": {}}, {"features": "a"}, {"a": 1}, [1], 3,
+    ]
+    texts = [json.dumps(x) for x in layouts] + ["", "{", None, json.dumps(layouts[0])[:40]]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, payload string")
+    got = df.select("i", schema_drift.parsed(F.col("payload")).alias("p")).orderBy("i").collect()
+    for r, text in zip(got, texts, strict=True):
+        ok, version, feats = schema_drift.parse_payload(text)
+        assert bool(r.p.readable) == ok
+        if ok:
+            assert r.p.version == version and sorted(map(tuple, r.p.features), key=str) == sorted(feats, key=str), text
+
+
+def test_renames_without_common_values_are_matched():
+    a = [{"name": "text", "dtype": "string", "width": 700.0, "distinct": 0.9, "sketch": [1, 2]}, {"name": "source", "dtype": "string", "width": 12.0, "distinct": 0.01, "sketch": [5, 6]}]
+    b = [{"name": "origin", "dtype": "string", "width": 12.0, "distinct": 0.01, "sketch": [5, 6]}, {"name": "body_text", "dtype": "string", "width": 690.0, "distinct": 0.95, "sketch": [8, 9]}]
+    assert schema_drift.match_columns(a, b) == {"text": "body_text", "source": "origin"}
