@@ -10,6 +10,7 @@ yields renames. Matched columns then share one unified name.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -99,24 +100,37 @@ def _numbers(text: Column) -> Column:
     return F.coalesce(F.array_join(F.transform(found, lambda x: F.regexp_replace(x, "^0+(?=[0-9])", "")), ","), F.lit(""))
 
 
+def _held(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it occurs there."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _feature(name: Column, spec: Column) -> Column:
+    kind = F.schema_of_variant(spec)
+    plain = F.when(~kind.startswith("OBJECT") & ~kind.startswith("ARRAY"), F.try_variant_get(spec, "$", "string"))
+    return F.struct(name.alias("name"), _typed(F.coalesce(F.try_variant_get(spec, "$.dtype", "string"), plain)).alias("dtype"), _numbers(F.try_variant_get(spec, "$.shape", "string")).alias("shape"))
+
+
+def _features(raw: Column) -> Column:
+    """The features of a list or an object of them, in order, null for anything else; of equal names the last."""
+    name = lambda x: F.coalesce(F.try_variant_get(x, "$.key", "string"), F.try_variant_get(x, "$.name", "string"))
+    listed = F.filter(F.try_variant_get(raw, "$", "array<variant>"), lambda x: F.schema_of_variant(x).startswith("OBJECT"))
+    mapped = F.map_entries(F.try_variant_get(raw, "$", "map<string,variant>"))
+    pairs = F.coalesce(F.transform(mapped, lambda e: F.struct(e["key"].alias("name"), e["value"].alias("spec"))), F.transform(listed, lambda x: F.struct(name(x).alias("name"), x.alias("spec"))))
+    found = F.transform(F.filter(pairs, lambda p: p["name"].isNotNull()), lambda p: _feature(p["name"], p["spec"]))
+    return _held(found, lambda every: F.filter(every, lambda x, i: ~F.exists(F.slice(every, i + 2, F.size(every)), lambda y: y["name"] == x["name"])))
+
+
 def parsed(payload: Column) -> Column:
     """The same as ``parse_payload`` for a column: readable, version, features; all by the JVM."""
-    doc = F.try_parse_json(payload)
-    at = lambda v, path, kind: F.try_variant_get(v, path, kind)
-
-    def feature(name: Column, spec: Column) -> Column:
-        plain = F.when(~F.schema_of_variant(spec).startswith("OBJECT") & ~F.schema_of_variant(spec).startswith("ARRAY"), at(spec, "$", "string"))
-        return F.struct(name.alias("name"), _typed(F.coalesce(at(spec, "$.dtype", "string"), plain)).alias("dtype"), _numbers(at(spec, "$.shape", "string")).alias("shape"))
-
-    mapped = F.coalesce(at(doc, "$.features", "map<string,variant>"), at(doc, "$.metadata.features", "map<string,variant>"))
-    listed = F.coalesce(at(doc, "$.features", "array<variant>"), at(doc, "$.metadata.features", "array<variant>"))
-    objects = F.filter(listed, lambda x: F.schema_of_variant(x).startswith("OBJECT"))
-    of_list = F.transform(objects, lambda x: feature(F.coalesce(at(x, "$.key", "string"), at(x, "$.name", "string")), x))
-    of_map = F.transform(F.map_entries(mapped), lambda e: feature(e["key"], e["value"]))
-    every = F.coalesce(of_map, of_list)
-    last = F.filter(every, lambda x, i: x["name"].isNotNull() & (F.array_position(F.reverse(F.transform(every, lambda y: y["name"])), x["name"]) == F.size(every) - i))
-    version = F.trim(F.coalesce(at(doc, "$.metadata.codebase_version", "string"), at(doc, "$.codebase_version", "string")))
-    return F.struct(every.isNotNull().alias("readable"), F.regexp_replace(version, "^[vV](?=[0-9])", "").alias("version"), F.array_sort(last).alias("features"))
+    text = lambda doc, path: F.try_variant_get(doc, path, "string")
+
+    def read(doc: Column) -> Column:
+        raw = F.coalesce(F.try_variant_get(doc, "$.features", "variant"), F.try_variant_get(doc, "$.metadata.features", "variant"))
+        version = F.regexp_replace(F.trim(F.coalesce(text(doc, "$.metadata.codebase_version"), text(doc, "$.codebase_version"))), "^[vV](?=[0-9])", "")
+        return F.struct(version.alias("version"), _features(raw).alias("features"))
+
+    return _held(_held(F.try_parse_json(payload), read), lambda r: F.struct(r["features"].isNotNull().alias("readable"), r["version"].alias("version"), F.array_sort(r["features"]).alias("features")))
 
 
 def _grams(name: str) -> set[str]:
