@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kinelake.session import cut_lineage
 
 
-def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """Components of an undirected graph by alternating large-star and small-star.
 
     ``edges``: u, v (bigint). Returned: node, component (the smallest node of its
@@ -17,27 +17,26 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
     Large-star links each node's greater neighbours to the smallest node of its
     neighbourhood, small-star its smaller ones and itself. Minima come from map-side
-    aggregation and meet the edges in an equi-join, which AQE splits at hot nodes;
-    no neighbourhood is gathered. Each round is written to the shared checkpoint folder.
+    aggregation and are written before they meet the edges, so both sides of that
+    join are plain shuffles and AQE can split a hot node's; no neighbourhood is
+    gathered. Rounds go on until nothing changes, about log(nodes) of them.
     """
     edges = edges.where(F.col("u").isNotNull() & F.col("v").isNotNull()).select(F.col("u").cast("bigint").alias("u"), F.col("v").cast("bigint").alias("v"))
     nodes = edges.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     current = cut_lineage(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     mark = _fingerprint(current)
-    for _ in range(most_rounds):
+    while True:
         both = current.union(current.select("v", "u"))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-        least = down.groupBy("u").agg(F.min("v").alias("m"))
+        low = cut_lineage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        down = cut_lineage(large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+        least = cut_lineage(down.groupBy("u").agg(F.min("v").alias("m")))
         small = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").union(least.select("u", F.col("m").alias("v"))).distinct()
         current = cut_lineage(small)
         now = _fingerprint(current)
         if now == mark:
             break
         mark = now
-    else:
-        raise RuntimeError("components did not settle")
     return nodes.join(current.groupBy("u").agg(F.min("v").alias("v")).withColumnRenamed("u", "node"), "node", "left").select("node", F.coalesce("v", "node").alias("component"))
 
 
@@ -57,7 +56,8 @@ def related_records(records: DataFrame, key: str, entities: list[Column], links:
     parts = [once.select(F.col(key).alias("u"), F.col(key).alias("v"))]
     for entity in entities:
         held = once.select(F.col(key).alias("u"), entity.alias("entity")).where(F.col("entity").isNotNull())
-        parts.append(held.join(held.groupBy("entity").agg(F.min("u").alias("v")), "entity").select("u", "v"))
+        least = cut_lineage(held.groupBy("entity").agg(F.min("u").alias("v")))  # written, so that AQE can split a hot entity's join
+        parts.append(held.join(least, "entity").select("u", "v"))
     known = once.select(F.col(key).alias("v")).distinct()
     for link in links or []:
         parts.append(once.select(F.col(key).alias("u"), F.col(link).alias("v")).where(F.col("v").isNotNull()).join(known, "v", "left_semi").select("u", "v"))
@@ -99,7 +99,7 @@ def episode_families(episodes: DataFrame) -> DataFrame:
     so on through chains. Null or blank groups relate nothing; redelivered
     episodes count once; a null key gives no row; extra columns are ignored.
     """
-    once = episodes.where(F.col("episode_key").isNotNull()).groupBy("episode_key").agg(*(F.first(c).alias(c) for c in ("origin_group", "derived_from", "split")))
+    once = episodes.where(F.col("episode_key").isNotNull()).groupBy("episode_key").agg(F.min(F.struct("origin_group", "derived_from", "split")).alias("e")).select("episode_key", "e.*")
     once = once.select("episode_key", "derived_from", group_key(F.col("origin_group")).alias("group_key"), split_name(F.col("split")).alias("recorded"))
     families = connected_components(related_records(once, "episode_key", [F.col("group_key")], ["derived_from"]))
     named = once.select("episode_key", "recorded").join(families.withColumnRenamed("node", "episode_key"), "episode_key")

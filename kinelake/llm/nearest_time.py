@@ -231,7 +231,7 @@ def _match_table(tbl: pa.Table, tolerance: float, block: float) -> tuple[pa.Reco
 
 def frames_for_steps(steps: DataFrame, episodes: DataFrame, frames: DataFrame, tolerance: float = 0.040) -> DataFrame:
     """The nearest frame of each step's video: episode_key, frame_index, frame_id."""
-    media = episodes.groupBy("episode_key").agg(*(F.first(c).alias(c) for c in ("source_id", "video", "video_offset", "video_end")))
+    media = episodes.groupBy("episode_key").agg(F.min(F.struct("source_id", "video", "video_offset", "video_end")).alias("e")).select("episode_key", "e.*")
     media = media.where(F.col("video").isNotNull() & F.col("source_id").isNotNull()).withColumn("video_offset", F.coalesce("video_offset", F.lit(0.0)))
     once = steps.select("episode_key", "frame_index", "step_time").where(F.col("step_time").isNotNull() & ~F.isnan("step_time")).dropDuplicates(["episode_key", "frame_index", "step_time"])
     events = once.join(media, "episode_key").select(

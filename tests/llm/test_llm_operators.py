@@ -99,6 +99,33 @@ def test_components_of_chains_stars_and_noise(spark):
     assert families.connected_components(df.limit(0)).count() == 0
 
 
+def test_a_hot_node_is_split_by_a_skew_join(spark, monkeypatch):
+    """The join of edges and minima in a round: with nearly all edges on one node its plan has a skew join."""
+    plans = []
+    real = families.cut_lineage
+
+    def spying(df):
+        out = real(df)
+        plans.append(df)
+        return out
+
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.files.maxPartitionBytes": "65536", "spark.sql.files.openCostInBytes": "65536"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        edges = spark.range(1, 60000).select(F.when(F.col("id") % 10 < 9, F.lit(0)).otherwise(F.col("id") + 100_000).alias("u"), (F.col("id") + 200_000).alias("v")).repartition(8)
+        monkeypatch.setattr(families, "cut_lineage", spying)
+        got = families.connected_components(edges).groupBy("component").count().orderBy(F.desc("count")).head()
+        assert got["component"] == 0 and got["count"] == 53_999 + 1
+        down = next(p for p in plans if "v" in p.columns and "m" not in p.columns and p is not plans[0])
+        down.collect()
+        assert "skew=true" in down._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 EP = "episode_key bigint, origin_group string, derived_from bigint, split string, component string"
 
 
