@@ -4,7 +4,8 @@ Items are dealt to demes by a hash of their key. A deme evolves on several
 islands at once; a solution is a grouping of its items into bins. Crossover
 injects whole well-filled bins of one parent into the other, removes the bins
 that hold one of their items a second time and puts displaced items back by best
-fit. Between epochs each island sends its elite to the next one.
+fit, exchanging them for items that fill a bin less well. Islands keep their
+population from epoch to epoch, and between epochs each sends its elite to the next.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from kinelake.session import change_points, column, cut_lineage, whole_groups
 
 CAPACITY = 1024
 #: Items of a deme on average, islands of a deme, epochs (migrations + 1), generations of an epoch, solutions of an island, elite sent on.
-DEME, ISLANDS, EPOCHS, GENERATIONS, POPULATION, ELITE = 1500, 2, 2, 8, 5, 1
+DEME, ISLANDS, EPOCHS, GENERATIONS, POPULATION, ELITE = 1500, 2, 3, 24, 8, 2
 SOLUTION = "deme bigint, island int, kind int, item bigint, size int, fitness double, bins array<int>"
 
 
@@ -59,7 +60,8 @@ class Bins:
 
     def fitness(self) -> float:
         """Mean squared fill: few full bins beat many half-full ones."""
-        return sum(((self.capacity - f) / self.capacity) ** 2 for f in self.free) / max(len(self.free), 1)
+        fill = 1.0 - np.asarray(self.free, float) / self.capacity
+        return float(fill @ fill) / max(len(fill), 1)
 
 
 def build(order: list[int], sizes: list[int], capacity: int) -> Bins:
@@ -70,71 +72,109 @@ def build(order: list[int], sizes: list[int], capacity: int) -> Bins:
 
 
 def crossover(a: Bins, b: Bins, sizes: list[int], rng: np.random.Generator) -> Bins:
-    """``a`` with some of ``b``'s best-filled bins; displaced items go back by best fit, greater ones first."""
+    """``a`` with some of ``b``'s best-filled bins; bins that hold one of their items again are dissolved."""
     rank = sorted(range(len(b.bins)), key=b.free.__getitem__)
     best = rank[: max(1, len(rank) // 2)]
     n = int(rng.integers(1, max(2, len(best) // 2 + 1)))
     chosen = [best[i] for i in rng.choice(len(best), n, replace=False)]
     injected = {i for k in chosen for i in b.bins[k]}
-    out, loose = Bins(a.capacity), []
-    for k in chosen:
-        out.add_bin(list(b.bins[k]), b.capacity - b.free[k])
+    kept, loose = [(list(b.bins[k]), b.free[k]) for k in chosen], []
     for items, free in zip(a.bins, a.free, strict=True):
         if injected.isdisjoint(items):
-            out.add_bin(list(items), a.capacity - free)
+            kept.append((list(items), free))
         else:
             loose += [i for i in items if i not in injected]
-    for i in sorted(loose, key=lambda i: -sizes[i]):
-        out.best_fit(i, sizes[i])
-    return out
+    return settled(kept, loose, sizes, a.capacity, rng)
 
 
 def mutate(a: Bins, sizes: list[int], rng: np.random.Generator) -> Bins:
-    """Empty the worst bins and a few others, and put their items back."""
+    """Dissolve the worst bins and a few others, and settle their items again."""
     worst = sorted(range(len(a.bins)), key=lambda k: -a.free[k])[:3]
     dissolved = {*worst, *rng.integers(0, len(a.bins), 3).tolist()}
-    out, loose = Bins(a.capacity), []
+    kept, loose = [], []
     for k, (items, free) in enumerate(zip(a.bins, a.free, strict=True)):
         if k in dissolved:
             loose += items
         else:
-            out.add_bin(list(items), a.capacity - free)
-    for i in sorted(loose, key=lambda i: -sizes[i]):
+            kept.append((list(items), free))
+    return settled(kept, loose, sizes, a.capacity, rng)
+
+
+def settled(kept: list[tuple[list[int], int]], loose: list[int], sizes: list[int], capacity: int, rng: np.random.Generator) -> Bins:
+    """Displaced items back into the bins: first in exchange for one or two smaller ones of a bin that they fill better, then by best fit, greater ones first."""
+    out = Bins(capacity)
+    loose = sorted(loose, key=sizes.__getitem__)
+    for k in rng.permutation(len(kept)).tolist():
+        items, free = kept[k]
+        while free and loose:
+            swap = _exchange(items, free, loose, sizes)
+            if swap is None:
+                break
+            leave, enter = swap
+            free -= sum(sizes[i] for i in enter) - sum(sizes[i] for i in leave)
+            items = [i for i in items if i not in leave] + list(enter)
+            loose = sorted([i for i in loose if i not in enter] + list(leave), key=sizes.__getitem__)
+        out.add_bin(items, capacity - free)
+    for i in reversed(loose):
         out.best_fit(i, sizes[i])
     return out
 
 
+#: Displaced items whose pairs are tried in an exchange (all are tried singly), and items of a bin.
+PAIRED, CROWD = 48, 8
+
+
+def _exchange(items: list[int], free: int, loose: list[int], sizes: list[int]) -> tuple[tuple[int, ...], tuple[int, ...]] | None:
+    """The exchange of one or two items that leaves least free: (leaving, entering), or None if none fills the bin better."""
+    some = items[:CROWD]
+    out = [(i,) for i in some] + [(i, j) for n, i in enumerate(some) for j in some[n + 1 :]]
+    sums = np.array([sum(sizes[i] for i in o) for o in out])
+    inn = [(i,) for i in loose]
+    few = loose[:: max(1, len(loose) // PAIRED)]
+    inn += [(i, j) for n, i in enumerate(few) for j in few[n + 1 :]]
+    gain = np.array([sum(sizes[i] for i in e) for e in inn])
+    order = np.argsort(gain, kind="stable")
+    ranked = gain[order]
+    at = np.searchsorted(ranked, sums + free, "right") - 1
+    more = np.where(at >= 0, ranked[np.maximum(at, 0)] - sums, -1)
+    best = int(np.argmax(more))
+    return (out[best], inn[order[at[best]]]) if more[best] > 0 else None
+
+
+def decoded(genome: list[int], sizes: list[int], capacity: int) -> Bins:
+    groups: dict[int, list[int]] = {}
+    for i, b in enumerate(genome):
+        groups.setdefault(b, []).append(i)
+    made = Bins(capacity)
+    for items in groups.values():
+        made.add_bin(items, sum(sizes[i] for i in items))
+    return made
+
+
 def evolve(sizes: list[int], capacity: int, incoming: list[list[int]], seed: int, generations: int = GENERATIONS, population: int = POPULATION) -> list[Bins]:
-    """The population after some generations, best first. ``incoming``: bins per item of migrated solutions."""
+    """The population after some generations, best first. ``incoming``: bins per item of the island's solutions and of migrants.
+
+    Stops when no fewer bins are possible. Each generation two children take the
+    place of the worst; the best always stay.
+    """
     rng = np.random.default_rng(seed)
     n = len(sizes)
-    down = sorted(range(n), key=lambda i: -sizes[i])
-    pop = []
-    for genome in incoming:
-        groups: dict[int, list[int]] = {}
-        for i, b in enumerate(genome):
-            groups.setdefault(b, []).append(i)
-        made = Bins(capacity)
-        for items in groups.values():
-            made.add_bin(items, sum(sizes[i] for i in items))
-        pop.append(made)
-    if not pop:
-        pop.append(build(down, sizes, capacity))
-    while len(pop) < population:
+    rank = lambda s: (len(s.bins), -s.fitness())
+    pop = [decoded(g, sizes, capacity) for g in incoming] or [build(sorted(range(n), key=lambda i: -sizes[i]), sizes, capacity)]
+    pop = sorted(pop, key=rank)[:population]
+    bound = -(-sum(sizes) // capacity)
+    while len(pop) < population and len(pop[0].bins) > bound:
         blur = np.asarray(sizes) * rng.uniform(0.7, 1.0, n)
         pop.append(build(np.argsort(-blur).tolist(), sizes, capacity))
-    full = sum(sizes)
-    bound = -(-full // capacity)
     for _ in range(generations):
-        pop.sort(key=lambda s: -s.fitness())
-        if len(pop[0].bins) <= bound and max(pop[0].free, default=0) >= bound * capacity - full:
-            break  # no fewer bins are possible and all slack is in one bin
+        pop.sort(key=rank)
+        if len(pop[0].bins) <= bound:
+            break
         a, b = (min(rng.integers(0, len(pop), 2)) for _ in range(2))
         child = crossover(pop[a], pop[b], sizes, rng)
         other = mutate(crossover(pop[b], pop[a], sizes, rng), sizes, rng)
         pop = [*pop[: max(len(pop) - 2, 1)], child, other]
-    pop.sort(key=lambda s: (len(s.bins), -s.fitness()))
-    return pop
+    return sorted(pop, key=rank)
 
 
 def _genome(s: Bins, n: int) -> list[int]:
@@ -146,10 +186,11 @@ def _genome(s: Bins, n: int) -> list[int]:
 
 
 def _epoch(items: DataFrame, elites: DataFrame | None, capacity: int, epoch: int, seed: int) -> DataFrame:
-    """One epoch on all islands: rows of elite solutions (kind 1)."""
+    """One epoch on all islands: rows of each island's population (kind 1), `item` being its rank."""
     rows = items.withColumn("island", F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1)))).select("deme", "island", F.lit(0).alias("kind"), "item", "size", F.lit(None).cast("double").alias("fitness"), F.lit(None).cast("array<int>").alias("bins"))
     if elites is not None:
-        moved = F.array(F.struct(F.col("island").alias("to")), F.struct(((F.col("island") + 1) % ISLANDS).cast("int").alias("to")))
+        # all solutions stay, the elite (ranks are in `item`) goes to the next island, too
+        moved = F.when(F.col("item") < ELITE, F.array(F.struct(F.col("island").alias("to")), F.struct(((F.col("island") + 1) % ISLANDS).cast("int").alias("to")))).otherwise(F.array(F.struct(F.col("island").alias("to"))))
         rows = rows.unionByName(elites.withColumn("m", F.explode(F.array_distinct(moved))).withColumn("island", F.col("m.to")).drop("m"))
     keyed = rows.repartition("deme", "island").sortWithinPartitions("deme", "island", "kind", "item")
 
@@ -162,7 +203,7 @@ def _epoch(items: DataFrame, elites: DataFrame | None, capacity: int, epoch: int
                 sizes = size[s:cut].astype(int).tolist()
                 incoming = tbl.column("bins").slice(cut, e - cut).to_pylist()
                 pop = evolve(sizes, capacity, incoming, seed + 1009 * epoch + 31 * int(island[s]) + int(deme[s]))
-                k = min(ELITE, len(pop))
+                k = len(pop)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([deme[s]] * k, pa.int64()), pa.array([island[s]] * k, pa.int32()), pa.array([1] * k, pa.int32()), pa.array(range(k), pa.int64()), pa.array([len(p.bins) for p in pop[:k]], pa.int32()), pa.array([p.fitness() for p in pop[:k]], pa.float64()), pa.array([_genome(p, cut - s) for p in pop[:k]], pa.list_(pa.int32()))],
                     names=["deme", "island", "kind", "item", "size", "fitness", "bins"],

@@ -422,3 +422,81 @@ def test_kernel_weights_equal_the_kernel():
     own = np.unique(grams[np.isin(grams, model.vocabulary)])
     at = model.table[model._slot(own)]
     np.testing.assert_allclose(scores[0], model.weights[at].sum(0) / np.sqrt(len(own)) + model.bias, rtol=1e-4, atol=1e-5)
+
+
+def test_genetic_search_beats_best_fit_on_planted_triples():
+    """Bins filled exactly by three items each: best fit decreasing needs a sixth more, the search one more at most."""
+    for bins, seed in ((20, 1), (40, 2), (80, 3)):
+        rng = np.random.default_rng(seed)
+        sizes = []
+        for _ in range(bins):
+            a = int(rng.integers(390, 500))
+            b = int(rng.integers(257, 1024 - a - 256))
+            sizes += [a, b, 1024 - a - b]
+        sizes = rng.permutation(sizes).tolist()
+        greedy = packing.build(sorted(range(len(sizes)), key=lambda i: -sizes[i]), sizes, 1024)
+        pop: list = []
+        for epoch in range(packing.EPOCHS):
+            pop = packing.evolve(sizes, 1024, [packing._genome(p, len(sizes)) for p in pop], seed + epoch)
+        assert len(greedy.bins) >= 1.15 * bins and len(pop[0].bins) <= bins + 1
+        assert sorted(i for b in pop[0].bins for i in b) == list(range(len(sizes))) and min(pop[0].free) >= 0
+        assert all(sum(sizes[i] for i in b) + f == 1024 for b, f in zip(pop[0].bins, pop[0].free, strict=True))
+
+
+def test_tables_and_pieces_of_long_episodes(spark, monkeypatch):
+    """An episode cut into pieces has the sketch of the whole within a rank of its summaries; frames count once."""
+    rng = np.random.default_rng(3)
+    m = np.cumsum(rng.normal(0, 0.05, (900, 4)), 0)
+    rows = [(1, i, [float(v) for v in r[:2]], [float(v) for v in r[2:]], "s", "x") for i, r in enumerate(m)]
+    steps = spark.createDataFrame(rows + rows[:50] + [(2, 10_000_000, [0.5, 1.0], [1.0], "s", "x")], STEP)
+    limits = spark.createDataFrame([(1, 10.0), (2, 10.0)], "episode_key bigint, joint_limit double")
+    whole = {r.episode_key: r for r in history.episode_sketches(steps, limits).collect()}
+    monkeypatch.setattr(history, "PIECE", 100)
+    cut = {r.episode_key: r for r in history.episode_sketches(steps, limits).collect()}
+    assert whole[1].frames == cut[1].frames == 900 and whole[2].frames == cut[2].frames == 1
+    np.testing.assert_allclose(cut[1].sketch, whole[1].sketch, atol=0.02)
+    assert cut[2].sketch == whole[2].sketch
+
+
+def test_families_wider_than_any_list_of_neighbours(spark):
+    """25 near copies of 60 frames and 25 cut to 51 frames (85 % in common) are one family."""
+    rng = np.random.default_rng(2)
+    base = np.cumsum(rng.normal(0, 0.05, (60, 6)), 0)
+    eps = {k: base + rng.uniform(-0.0004, 0.0004, base.shape) for k in range(1, 26)} | {k: base[:51] + rng.uniform(-0.0004, 0.0004, (51, 6)) for k in range(101, 126)}
+    steps = [(k, i, [float(v) for v in row[:3]], [float(v) for v in row[3:]], "s", "x") for k, m in eps.items() for i, row in enumerate(m)]
+    args = spark.createDataFrame(steps, STEP), spark.createDataFrame([(k, "a", "r0", "arm", 0) for k in eps], EPISODE), spark.createDataFrame([("a", "r0", 1, 1.0)], "source_id string, revision string, batch_no int, joint_limit double")
+    assert {(r.episode_key_a, r.episode_key_b) for r in history.repeated_episodes(*args).collect()} == {(1, k) for k in eps if k != 1}
+
+
+def test_idle_twins_are_compared_in_linear_memory():
+    import tracemalloc
+
+    x = np.full((8000, 12), 0.25)
+    y = x + np.random.default_rng(1).uniform(-1e-4, 1e-4, x.shape)
+    tracemalloc.start()
+    assert history.common_frames(x, y, 1e-3, 6400) == 8000
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 400e6
+    assert history.common_frames(x[:100], y[:100] + 1, 1e-3, 80) < 80
+
+
+def test_stored_index_compacts_and_answers(spark, tmp_path):
+    """Batches added one by one leave the segments of a binary counter; a reopened index finds what brute force finds."""
+    rng = np.random.default_rng(8)
+    x = np.sort(rng.uniform(-1, 1, (400, 3, 5)), 2)
+    x[300:] = np.sort(x[:100] + rng.normal(0, 0.01, (100, 3, 5)), 2)
+    x = x.reshape(400, 15).astype(np.float32)
+    n = rng.integers(80, 90, 400)
+    rows = [(k, "arm", int(n[k]), [float(v) for v in x[k]], k % 3) for k in range(400)]
+    points = spark.createDataFrame(rows, "episode_key bigint, embodiment string, frames bigint, sketch array<float>, batch int")
+    index = history.HistoryIndex(spark, str(tmp_path / "index"))
+    for b in range(3):
+        index.add(points.where(f"episode_key < 300 and batch = {b}"))
+    assert index.segments == [(0, 2), (2, 3)]
+    opened = history.HistoryIndex.opened(spark, str(tmp_path / "index"))
+    got = {(r.a, r.b) for r in opened.candidates(points.where("episode_key >= 300")).collect()}
+    i, j = (v.ravel() for v in np.meshgrid(np.arange(300), np.arange(300, 400), indexing="ij"))
+    ok = (np.minimum(n[i], n[j]) >= 0.8 * np.maximum(n[i], n[j]) - 1e-9) & history.within_bounds(x[i], x[j])
+    want = set(zip(i[ok].tolist(), j[ok].tolist(), strict=True))
+    assert got <= want and len(got) >= 0.99 * len(want) and len(want) >= 100
