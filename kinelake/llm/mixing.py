@@ -60,7 +60,7 @@ def mix(lengths: DataFrame, targets: DataFrame, share_of_total: float = 0.5, see
     """
     wanted = targets.select(source_key(F.col("source")).alias("source"), "target_share", "max_repeats").where(F.col("source").isNotNull()).groupBy("source").agg(F.max("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
     kinds = {r["source"]: r for r in wanted.collect()}  # the table of targets is fixed and small
-    rows = cut_lineage(lengths.where(F.col("doc_id").isNotNull()).select("doc_id", source_key(F.col("source")).alias("source"), "text_key", F.coalesce("n_tokens", F.lit(0)).alias("n_tokens")).dropDuplicates(["doc_id"]))
+    rows = cut_lineage(lengths.where(F.col("doc_id").isNotNull()).select("doc_id", source_key(F.col("source")).alias("source"), "text_key", F.coalesce("n_tokens", F.lit(0)).alias("n_tokens")).groupBy("doc_id").agg(F.max(F.struct("source", "text_key", "n_tokens")).alias("d")).select("doc_id", "d.*"))
     total = (rows.agg(F.sum("n_tokens")).head()[0] or 0) * share_of_total
     owned = rows.where((F.col("n_tokens") > 0) & F.col("source").isin(*kinds)) if kinds else rows.limit(0)
     texts = owned.groupBy("text_key").agg(F.min(F.struct("doc_id", "source", "n_tokens")).alias("o")).select("o.*")
@@ -96,3 +96,14 @@ def mix_documents(documents: DataFrame, targets: DataFrame, share_of_total: floa
     """``mix`` for whole texts measured in tokens; equal texts have equal SHA-256."""
     counted = token_counts(documents.withColumn("text_key", F.sha2("text", 256)), vocabulary, keep=("source", "text_key"))
     return mix(counted, targets, share_of_total)
+
+
+def mix_checks(draws: DataFrame, report: DataFrame, lengths: DataFrame, total: float) -> DataFrame:
+    """Per target source: ``capped`` (no text beyond max_repeats) and ``met``: its tokens are its water-filled share of ``total``, to half the longest text that ``lengths`` has of it."""
+    rows = {r["source"]: r for r in report.collect()}  # one row per target source, a fixed and small table
+    share = water_fill({k: r["target_share"] or 0.0 for k, r in rows.items()}, {k: float(r["tokens"] * max(r["max_repeats"] or 0, 0)) for k, r in rows.items()}, total)
+    wanted = draws.sparkSession.createDataFrame([(k, float(v), int(rows[k]["max_repeats"] or 0)) for k, v in share.items()], "source string, share double, most int")
+    got = draws.groupBy("source").agg(F.max("copies").alias("copies"), F.sum(F.col("n_tokens") * F.col("copies")).alias("drawn"))
+    longest = lengths.groupBy(source_key(F.col("source")).alias("source")).agg(F.max("n_tokens").alias("longest"))
+    both = wanted.join(got, "source", "left").join(longest, "source", "left").na.fill(0, ["copies", "drawn", "longest"])
+    return both.select("source", (F.col("copies") <= F.col("most")).alias("capped"), (F.abs(F.col("drawn") - F.col("share")) <= F.col("longest") / 2 + 1).alias("met"))

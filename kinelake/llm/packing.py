@@ -185,14 +185,16 @@ def _genome(s: Bins, n: int) -> list[int]:
     return out
 
 
-def _epoch(items: DataFrame, elites: DataFrame | None, capacity: int, epoch: int, seed: int) -> DataFrame:
+def _epoch(items: DataFrame, elites: DataFrame | None, capacity: int, epoch: int, seed: int, demes: int) -> DataFrame:
     """One epoch on all islands: rows of each island's population (kind 1), `item` being its rank."""
     rows = items.withColumn("island", F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1)))).select("deme", "island", F.lit(0).alias("kind"), "item", "size", F.lit(None).cast("double").alias("fitness"), F.lit(None).cast("array<int>").alias("bins"))
     if elites is not None:
         # all solutions stay, the elite (ranks are in `item`) goes to the next island, too
         moved = F.when(F.col("item") < ELITE, F.array(F.struct(F.col("island").alias("to")), F.struct(((F.col("island") + 1) % ISLANDS).cast("int").alias("to")))).otherwise(F.array(F.struct(F.col("island").alias("to"))))
         rows = rows.unionByName(elites.withColumn("m", F.explode(F.array_distinct(moved))).withColumn("island", F.col("m.to")).drop("m"))
-    keyed = rows.repartition("deme", "island").sortWithinPartitions("deme", "island", "kind", "item")
+    spark = items.sparkSession
+    parts = min(demes * ISLANDS, max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")), demes // 64))  # few bytes, much work: a number of its own keeps AQE from merging them
+    keyed = rows.repartition(int(parts), "deme", "island").sortWithinPartitions("deme", "island", "kind", "item")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tbl in whole_groups(batches, ["deme", "island"], 1):
@@ -234,7 +236,7 @@ def pack(lengths: DataFrame, capacity: int = CAPACITY, seed: int = 11) -> DataFr
     items = rest.select(F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(demes)).alias("deme"), F.col("doc_id").alias("item"), "size", whole.alias("piece"))
     elites = None
     for epoch in range(EPOCHS):
-        elites = cut_lineage(_epoch(items.select("deme", "item", "size"), elites, capacity, epoch, seed))
+        elites = cut_lineage(_epoch(items.select("deme", "item", "size"), elites, capacity, epoch, seed, demes))
     best = elites.groupBy("deme").agg(F.min_by("bins", F.struct("size", -F.col("fitness"), "island", "item")).alias("bins"))
     ordered = items.groupBy("deme").agg(F.array_sort(F.collect_list(F.struct("item", "size", "piece"))).alias("items"))  # a deme is bounded
     placed = ordered.join(best, "deme").select("deme", F.explode(F.arrays_zip("items", "bins")).alias("z"))
@@ -253,3 +255,12 @@ def fill_report(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """sequences, tokens, fill (share of all places used)."""
     used = packed.where(F.col("sequence").isNotNull())
     return used.agg(F.count_distinct("sequence").alias("sequences"), F.sum("n_tokens").alias("tokens")).withColumn("fill", F.col("tokens") / (F.col("sequences") * capacity))
+
+
+def pack_checks(lengths: DataFrame, packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """Per document: ``complete`` (its pieces hold each token once, and it is split only where longer than the capacity) and ``fits`` (its sequences are filled without gap or overlap, up to the capacity at most)."""
+    used = packed.where(F.col("sequence").isNotNull()).groupBy("sequence").agg(((F.sum("n_tokens") <= capacity) & (F.sum("n_tokens") == F.max(F.col("position") + F.col("n_tokens"))) & (F.count_distinct("position") == F.count(F.lit(1)))).alias("good"))
+    per = packed.join(used, "sequence", "left").groupBy("doc_id").agg(F.sum("n_tokens").alias("placed"), F.count_distinct("piece").alias("pieces"), F.bool_and(F.coalesce("good", F.col("sequence").isNull() & (F.col("n_tokens") == 0))).alias("fits"))
+    known = lengths.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.coalesce(F.max("n_tokens"), F.lit(0)).alias("n"))
+    complete = (F.col("placed") == F.col("n")) & (F.col("pieces") == F.greatest(F.ceil(F.col("n") / capacity), F.lit(1)))
+    return known.join(per, "doc_id", "left").select("doc_id", F.coalesce(complete, F.lit(False)).alias("complete"), F.coalesce("fits", F.lit(False)).alias("fits"))

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinelake.llm import families, history, language, mixing, nearest_time, packing
-from kinelake.session import table
+from kinelake.llm import families, history, language, mixing, nearest_time, packing, tokens
+from kinelake.session import cut_lineage, table
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -45,6 +45,21 @@ def p9_report(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix_documents(table(spark, d, "documents"), table(spark, d, "mixture_targets"))[1]
 
 
+def p8_checks(spark: SparkSession, d: str) -> DataFrame:
+    """Whether every document is packed whole and every sequence within its capacity."""
+    counted = cut_lineage(tokens.token_counts(table(spark, d, "documents")))
+    return packing.pack_checks(counted, cut_lineage(packing.pack(counted)))
+
+
+def p9_checks(spark: SparkSession, d: str) -> DataFrame:
+    """Whether every source reaches its water-filled share and keeps to its repeats."""
+    documents, targets = table(spark, d, "documents"), table(spark, d, "mixture_targets")
+    draws, report = mixing.mix_documents(documents, targets)
+    lengths = cut_lineage(tokens.token_counts(documents.where("doc_id is not null").groupBy("doc_id").agg(F.max(F.struct("source", "text")).alias("d")).select("doc_id", "d.*"), keep=("source",)))
+    total = lengths.agg(F.sum("n_tokens")).head()[0] or 0
+    return mixing.mix_checks(cut_lineage(draws), report, lengths, total * 0.5)
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return language.relabelled(table(spark, d, "documents"))
 
@@ -55,7 +70,7 @@ def p10_segments(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p2_found, p2_new_batch, p6_found, p6_splits, p8_pack, p9_draws, p9_report, p10_found, p10_segments)
+    f.__name__: f for f in (p1_found, p2_found, p2_new_batch, p6_found, p6_splits, p8_pack, p8_checks, p9_draws, p9_report, p9_checks, p10_found, p10_segments)
 }
 
 EPISODE_FAMILIES = r"""
@@ -113,6 +128,8 @@ f AS (SELECT DISTINCT frame_id, source_id, video, pts FROM frames WHERE isfinite
 SELECT episode_key, frame_index, arg_min(frame_id, (abs(target - pts), frame_id)) AS frame_id
 FROM s JOIN f USING (source_id, video)
 WHERE pts >= off AND (ve IS NULL OR pts < ve) AND abs(target - pts) <= 0.040 GROUP BY 1, 2""",
+    "p8_checks": "SELECT DISTINCT doc_id, true AS complete, true AS fits FROM documents WHERE doc_id IS NOT NULL",
+    "p9_checks": "SELECT DISTINCT lower(trim(source)) AS source, true AS capped, true AS met FROM mixture_targets WHERE trim(source) <> ''",
     "p6_found": EPISODE_FAMILIES + """
 SELECT family_key, episode_key FROM fam
 WHERE family_key IN (SELECT family_key FROM fam JOIN e USING (episode_key) GROUP BY 1 HAVING count(DISTINCT s) > 1)""",
