@@ -75,6 +75,16 @@ ft AS (SELECT inspection_id, {'name': name, 'dtype': CASE t WHEN 'double' THEN '
 """
 
 ORACLES: dict[str, str] = {
+    "p3_grid": """
+WITH e AS (SELECT episode_key, any_value(fps) AS fps, any_value(timing_mode) AS tm, any_value(scale_to_seconds) AS sc FROM episodes GROUP BY 1),
+r AS (SELECT episode_key, step_time AS t, state AS v FROM steps
+      UNION ALL SELECT episode_key, CASE WHEN tm = 'nominal_index' THEN idx / fps WHEN tm = 'field' THEN clock_ticks * sc END, qpos FROM xr_records JOIN e USING (episode_key) WHERE qpos IS NOT NULL),
+f AS (SELECT r.episode_key, t, fps, v FROM r JOIN e USING (episode_key) WHERE isfinite(t) AND isfinite(fps) AND fps > 0),
+z AS (SELECT episode_key, min(t) AS t0 FROM f GROUP BY 1),
+k AS (SELECT episode_key, count(DISTINCT i) AS channels FROM (SELECT episode_key, unnest(v) AS x, unnest(range(0, len(v))) AS i FROM f) WHERE isfinite(x) GROUP BY 1),
+s AS (SELECT DISTINCT episode_key, floor((t - t0) * fps + 0.5)::BIGINT AS slot FROM f JOIN z USING (episode_key)),
+g AS (SELECT episode_key, unnest(generate_series(0, max(slot))) AS slot FROM s GROUP BY 1)
+SELECT g.episode_key, g.slot, (g.episode_key, g.slot) NOT IN (SELECT (episode_key, slot) FROM s) AS missing, coalesce(channels, 0) AS channels FROM g LEFT JOIN k USING (episode_key)""",
     "p3_found": """
 WITH e AS (SELECT episode_key, any_value(fps) AS fps, any_value(timing_mode) AS tm, any_value(scale_to_seconds) AS sc FROM episodes GROUP BY 1),
 r AS (SELECT episode_key, step_time AS t FROM steps
