@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinelake.functions.vectors import chunk_mask, zero_padded, zscore
-from kinelake.operators.trajectories import action_chunks, anchors
+from kinelake.operators.trajectories import anchor_windows
 
 #: The least standard deviation a channel is divided by.
 FLOOR = 1e-6
@@ -39,8 +39,7 @@ def training_windows(steps: DataFrame, episodes: DataFrame, horizon: int = 8, st
     """
     known = steps.select("episode_key", "frame_index", "step_time", "state", "action", "language").join(episodes.select("episode_key", "source_id", "episode_id", "split"), "episode_key")
     stats = stats_arrays(channel_stats(known.where("split = 'train'"), "source_id", ["state", "action"]), "source_id")
-    cut = anchors(action_chunks(known, horizon), stride, most)
-    w = cut.join(stats, "source_id")
+    w = anchor_windows(known, horizon, stride, most).join(stats, "source_id")
     norm = F.transform("chunk", lambda a: zscore(a, F.col("action_mean"), F.col("action_std")))
     width = F.size("action")
     return w.select(

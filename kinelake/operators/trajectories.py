@@ -101,6 +101,26 @@ def action_chunks(steps: DataFrame, horizon: int = 8) -> DataFrame:
     return rows.withColumn("chunk", F.collect_list("action").over(ahead)).where("own").drop("own", "block")
 
 
+def anchor_windows(steps: DataFrame, horizon: int = 8, stride: int = 10, most: int = 64) -> DataFrame:
+    """Each anchor's row with ``chunk``: the actions of frame_index to frame_index + horizon - 1 that its episode has; null actions are skipped.
+
+    A frame knows from its index and its episode's length which anchors it serves, so
+    frames beyond every anchor's horizon leave before the one shuffle, by episode and anchor.
+    """
+    f, last = F.col("frame_index"), F.col("frames") - 1
+    reach = F.sequence(F.greatest(F.ceil((f - horizon + 1) / stride), F.lit(0).cast("bigint")), F.floor(f / stride))
+    reach = F.when(F.floor(f / stride) >= F.greatest(F.ceil((f - horizon + 1) / stride), F.lit(0).cast("bigint")), reach).otherwise(F.array().cast("array<bigint>"))
+    served = F.array_distinct(F.concat(F.transform(reach, lambda k: k * stride), F.when(f == last, F.array(last)).otherwise(F.array().cast("array<bigint>"))))
+    total = F.ceil(last / stride) + 1
+    kept = F.filter(served, lambda a: (total <= most) | _kept(F.ceil(a / stride), total, most))
+    rows = steps.join(episode_lengths(steps), "episode_key").withColumn("anchor", F.explode(kept))
+    own = F.struct(*(c for c in steps.columns if c != "episode_key"))
+    held = F.array_sort(F.collect_list(F.struct(f.alias("at"), F.col("action").alias("action"))))  # at most `horizon`
+    got = rows.groupBy("episode_key", "anchor").agg(F.max(F.when(f == F.col("anchor"), own)).alias("own"), held.alias("held")).where("own is not null")
+    chunk = F.filter(F.transform("held", lambda h: h["action"]), lambda a: a.isNotNull())
+    return got.select("episode_key", "own.*", chunk.alias("chunk"))
+
+
 def window_addresses(windows: DataFrame) -> DataFrame:
     """A window's global number within its source and split: by episode name, then anchor."""
     sizes = windows.groupBy("source_id", "split", "episode_id").agg(F.count(F.lit(1)).alias("n"))
