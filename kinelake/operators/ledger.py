@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinelake.session import cut_lineage
@@ -112,9 +112,7 @@ def first_occurrence(df: DataFrame, key: str, content: str) -> DataFrame:
 
 
 def source_order(sources: DataFrame, episodes: DataFrame) -> DataFrame:
-    """Episodes with ``ord``, their place by batch and then key."""
+    """Episodes with ``ord``, their place by batch and then key: a pair that is compared, so nothing has to be numbered."""
     batches = sources.groupBy("source_id", "revision").agg(F.min("batch_no").alias("batch_no"))
     e = episodes.join(batches, ["source_id", "revision"], "left").withColumn("batch_no", F.coalesce("batch_no", F.lit(2**31 - 1)))
-    sizes = e.groupBy("batch_no").agg(F.count(F.lit(1)).alias("n"))
-    starts = sizes.withColumn("start", F.coalesce(F.sum("n").over(Window.orderBy("batch_no").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")  # one row per batch
-    return e.join(starts, "batch_no").withColumn("ord", F.col("start") + F.row_number().over(Window.partitionBy("batch_no").orderBy("episode_key"))).drop("start")
+    return e.withColumn("ord", F.struct("batch_no", "episode_key"))

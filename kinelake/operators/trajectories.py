@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kinelake.session import cut_lineage
+
 #: Rows of an episode that one window task handles; longer episodes are cut with overlap.
 BLOCK = 4096
 
@@ -122,9 +124,17 @@ def anchor_windows(steps: DataFrame, horizon: int = 8, stride: int = 10, most: i
 
 
 def window_addresses(windows: DataFrame) -> DataFrame:
-    """A window's global number within its source and split: by episode name, then anchor."""
-    sizes = windows.groupBy("source_id", "split", "episode_id").agg(F.count(F.lit(1)).alias("n"))
-    start = F.coalesce(F.sum("n").over(Window.partitionBy("source_id", "split").orderBy("episode_id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = sizes.select("source_id", "split", "episode_id", start.alias("start"))
-    within = F.row_number().over(Window.partitionBy("source_id", "split", "episode_id").orderBy("anchor_index")) - 1
-    return windows.withColumn("within", within).join(starts, ["source_id", "split", "episode_id"]).withColumn("row_address", F.col("start") + F.col("within")).drop("start", "within")
+    """A window's global number within its source and split: by episode name, then anchor.
+
+    Episodes' counts are range-partitioned by name and summed in two levels, within a
+    range and over the ranges, so a source with most of the episodes is no single task.
+    """
+    keys = ["source_id", "split"]
+    sizes = windows.groupBy(*keys, "episode_id").agg(F.count(F.lit(1)).alias("n"))
+    ranged = cut_lineage(sizes.repartitionByRange(*keys, "episode_id").withColumn("part", F.spark_partition_id()))
+    ahead = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = ranged.groupBy(*keys, "part").agg(F.sum("n").alias("n")).withColumn("offset", ahead(Window.partitionBy(*keys).orderBy("part"))).drop("n")  # a row per range
+    starts = ranged.withColumn("start", ahead(Window.partitionBy(*keys, "part").orderBy("episode_id"))).join(parts, [*keys, "part"])
+    starts = starts.select(*keys, "episode_id", (F.col("start") + F.col("offset")).alias("start"))
+    within = F.row_number().over(Window.partitionBy(*keys, "episode_id").orderBy("anchor_index")) - 1
+    return windows.withColumn("within", within).join(starts, [*keys, "episode_id"]).withColumn("row_address", F.col("start") + F.col("within")).drop("start", "within")
