@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +33,8 @@ PENALTY = 10.0
 STUCK, LONGEST = 8, 3
 #: Residuals are counted by their size in so many classes per doubling, within so many doublings of the first fit's deviation.
 CLASSES, DOUBLINGS = 16, 24
+#: Bytes of values that one step of a scan handles at once.
+CELLS = 4 << 20
 SUMS = ["w", "s11", "s12", "s22", "sy1", "sy2", "syy"]
 BLOCK_SCHEMA = "source_id string, episode_key bigint, chunk bigint, frames binary, widths binary, state_width int, action_width int, cells binary"
 FIT_SCHEMA = f"source_id string, channel int, size int, {', '.join(f'{c} double' for c in SUMS)}"
@@ -70,6 +73,17 @@ def _blocks(tbl: pa.Table) -> pa.RecordBatch:
     )
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that each holds few blocks' cells (one block at least)."""
+    for batch in batches:
+        size = np.cumsum(pc.binary_length(batch.column(batch.schema.get_field_index("cells"))).to_numpy(zero_copy_only=False))
+        lo = 0
+        while lo < batch.num_rows:
+            hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + CELLS, "right")))
+            yield batch.slice(lo, hi - lo)
+            lo = hi
+
+
 def _series(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
     """All blocks of a batch as one matrix; the last channel of each vector (the gripper) is left out."""
     get = {name: batch.column(batch.schema.get_field_index(name)) for name in batch.schema.names}
@@ -115,9 +129,7 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     Without a model, weights fall off for large second differences of the series;
     with one, for its large residuals, which are also counted by size.
     """
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    for batch in _pieces(batches):
         s = _series(batch)
         x, group, starts = np.where(s["present"] & np.isfinite(s["x"]), s["x"], np.nan), s["group"], s["starts"]
         if len(x) < 3:
@@ -236,9 +248,8 @@ def implausible(steps: DataFrame, sources: DataFrame, chunk: int = CHUNK, far: f
     known = _with_models(keyed, models).join(limits, "source_id", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield from _flag(batch, chunk, far)
+        for batch in _pieces(batches):
+            yield from _flag(batch, chunk, far)
 
     return known.mapInArrow(run, FOUND_SCHEMA)
 
