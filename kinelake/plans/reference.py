@@ -478,3 +478,36 @@ def lock_faults(spark: SparkSession, d: str) -> DataFrame:
     pattern = {r.path: r.pattern for r in rules.LOCK}
     faults = F.array_compact(F.array(*(F.when(~rules.matches(F.col(c), pattern[p]), p.rpartition(".")[2]) for c, p in told.items())))
     return table(spark, d, "sources").select(*told).distinct().select("source_id", "revision", F.array_join(faults, ",").alias("faults"))
+
+
+@query(f"WITH {QUALITY_SQL} SELECT episode_key, CASE WHEN errors = '' THEN 'interface_smoke' END AS eligible_view, false AS deployment_ready FROM qual")
+def quality_flags(spark: SparkSession, d: str) -> DataFrame:
+    """What an episode may be used for: a view if it has no error, deployment never."""
+    q = quality.quality_report(steps_of(spark, d), episodes_of(spark, d), table(spark, d, "frames"))
+    return q.select("episode_key", "eligible_view", "deployment_ready")
+
+
+@query(f"""WITH RECURSIVE {ACCEPTED_SQL}, {STATS_SQL}, w0 AS (SELECT acc.source_id AS src, len(action) AS width, least(8, frames - frame_index) AS valid FROM an JOIN acc USING (episode_key))
+SELECT src AS source_id, true AS restored, sum(valid * width) AS cells, sum((8 - valid) * width) AS padding FROM w0 WHERE src IN (SELECT source_id FROM sts) GROUP BY 1""")
+def windows_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Whether the windows' actions, with statistics undone, are the canonical ones, by source; and how many cells are real and padding."""
+    every = clean_steps(spark, d)
+    acc = accepted_episodes(spark, d, every)
+    st = cut_lineage(every.drop("source_id").join(acc.select("episode_key"), "episode_key", "left_semi"))
+    fitted = stats.stats_arrays(stats.channel_stats(st.join(acc, "episode_key").where("split = 'train'"), "source_id", ["state", "action"]), "source_id").select("source_id", "action_mean", "action_std")
+    truth = tr.anchor_windows(st.select("episode_key", "frame_index", "action")).select("episode_key", F.col("frame_index").alias("anchor_index"), "chunk")
+    w = stats.training_windows(st, acc).select("source_id", "episode_key", "anchor_index", "actions", "action_mask").join(fitted, "source_id").join(truth, ["episode_key", "anchor_index"])
+    back = F.transform("actions", lambda a: vectors.unzscore(a.cast("array<double>"), F.col("action_mean"), F.col("action_std")))
+    near = lambda a, b: F.abs(a - b) <= 1e-5 * F.greatest(F.abs(a), F.lit(1.0), F.array_max("action_std"))
+    same = F.forall(F.zip_with(F.slice(back, 1, F.size("chunk")), F.col("chunk"), lambda a, b: F.forall(F.zip_with(a, b, near), lambda x: x)), lambda x: x)
+    cells = F.flatten("action_mask")
+    return w.groupBy("source_id").agg(F.bool_and(same).alias("restored"), F.sum(F.size(F.filter(cells, lambda m: m))).alias("cells"), F.sum(F.size(F.filter(cells, lambda m: ~m))).alias("padding"))
+
+
+@query(f"WITH RECURSIVE {ACCEPTED_SQL} SELECT source_id, count(*) AS fitted, bool_and(split = 'train') AS train_only FROM acc WHERE split = 'train' GROUP BY 1")
+def statistics_fit_ids(spark: SparkSession, d: str) -> DataFrame:
+    """How many episodes each source's statistics rest on, and whether all of them are training episodes."""
+    st = clean_steps(spark, d)
+    acc = accepted_episodes(spark, d, st)
+    used = st.select("episode_key").join(acc.where("split = 'train'").select("episode_key"), "episode_key", "left_semi").distinct()
+    return used.join(acc, "episode_key").groupBy("source_id").agg(F.count(F.lit(1)).alias("fitted"), F.bool_and(F.col("split") == "train").alias("train_only"))
