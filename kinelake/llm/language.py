@@ -75,9 +75,7 @@ def sentences(text: str) -> list[tuple[int, int, str, bool]]:
                 han = 0 if plain.isascii() else len(HAN.findall(plain))
                 if han:
                     words = [w for w in words if not HAN.match(w)]
-                closed = END.search(raw[-4:]) is not None
-                letters = sum(map(len, words))
-                counts = han >= 3 or (letters >= 8 and len(words) >= 2 and (closed or len(words) >= 5))
+                counts = han >= 3 or (len(words) >= 2 and sum(map(len, words)) >= 8 and (len(words) >= 5 or END.search(raw[-4:]) is not None))
                 out.append((begin + s, begin + e, plain, counts))
             s = e
     return out
@@ -135,12 +133,14 @@ class KernelModel:
         self.weights = (m.T @ (root @ beta[:-1])).astype(np.float32)
 
     def _index(self, vocabulary: np.ndarray) -> None:
-        """A direct table for the n-grams; of two in one place the first stays."""
-        slot = self._slot(vocabulary)
-        _, first = np.unique(slot, return_index=True)
-        self.vocabulary = vocabulary[np.sort(first)]
+        """A direct table for the n-grams; those of one place follow one another in a chain."""
+        self.vocabulary = vocabulary
         self.table = np.full(1 << TABLE_BITS, -1, np.int32)
-        self.table[self._slot(self.vocabulary)] = np.arange(len(self.vocabulary))
+        self.following = np.full(len(vocabulary), -1, np.int32)
+        slot = self._slot(vocabulary)
+        for i in np.argsort(slot, kind="stable")[::-1].tolist():
+            self.following[i] = self.table[slot[i]]
+            self.table[slot[i]] = i
 
     @staticmethod
     def _slot(keys: np.ndarray) -> np.ndarray:
@@ -151,7 +151,12 @@ class KernelModel:
         at = self.table[self._slot(keys)]
         ok = at >= 0
         at, owner, keys = at[ok].astype(np.int64), owner[ok], keys[ok]
-        ok = self.vocabulary[at] == keys
+        other = np.flatnonzero(self.vocabulary[at] != keys)
+        while len(other):  # further along the chain of their place, where it goes on
+            at[other] = self.following[at[other]]
+            other = other[at[other] >= 0]
+            other = other[self.vocabulary[at[other]] != keys[other]]
+        ok = at >= 0
         pair = np.sort(owner[ok].astype(np.int64) * len(self.vocabulary) + at[ok])
         first = np.ones(len(pair), bool)
         first[1:] = pair[1:] != pair[:-1]
@@ -228,16 +233,13 @@ def train(documents: DataFrame, seed: int = 5, per_language: int = TRAIN_DOCUMEN
 
 
 def segment_units(units: list[tuple[int, int, str, bool]], logp: np.ndarray) -> list[tuple[int, int, int, float]]:
-    """(start, stop, language, confidence) of a document's segments from its counted units' log probabilities.
+    """(start, stop, language, confidence) of a document's segments from its counted units' log probabilities, where they differ.
 
     Viterbi with a price for each change of language; units that do not count go
     with the segment before them (at the start, the one after).
     """
     counted = [i for i, u in enumerate(units) if u[3]]
     n, classes = logp.shape
-    alone = int(logp[0].argmax())
-    if (logp.argmax(1) == alone).all():  # no change of language can pay
-        return [(units[0][0], units[-1][1], alone, float(np.exp(logp[:, alone]).mean()))]
     best, back = logp[0].copy(), np.zeros((n, classes), int)
     for k in range(1, n):
         top = int(best.argmax())
@@ -313,8 +315,14 @@ def _segment_batch(batch: pa.RecordBatch, texts: list[str], model: KernelModel)
     z -= z.max(1, keepdims=True)
     logp = z - np.log(np.exp(z).sum(1, keepdims=True))
     rows: list[tuple] = []
-    for i, units, a, b in docs:
-        found = segment_units(units, logp[a:b])
+    # most documents have one language throughout: no change of it can pay, and no path is searched
+    top = logp.argmax(1)
+    sure = np.exp(logp[np.arange(len(top)), top])
+    starts = np.array([d[2] for d in docs])
+    alone = np.minimum.reduceat(top, starts) == np.maximum.reduceat(top, starts)
+    mean = np.add.reduceat(sure, starts) / np.diff(np.append(starts, len(top)))
+    for (i, units, a, b), one, p_all in zip(docs, alone.tolist(), mean.tolist(), strict=True):
+        found = [(units[0][0], units[-1][1], int(top[a]), p_all)] if one else segment_units(units, logp[a:b])
         rows += [(i, k, LANGUAGES[c], p, s, e, len(found)) for k, (s, e, c, p) in enumerate(found)]
     col = list(zip(*rows, strict=True))
     at = pa.array(col[0])
