@@ -10,6 +10,7 @@ multiplied out once: scoring is a sparse presence matrix times a weight matrix.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -30,7 +31,7 @@ SPELLINGS = {
 MISSING = ["", "und", "unknown", "n/a"]
 #: Bounds of the training sample: labelled documents per language, sentences, landmarks.
 TRAIN_DOCUMENTS, TRAIN_SENTENCES, LANDMARKS = 300, 6000, 480
-GRAMS, TABLE_BITS = 4, 22
+GRAMS, TABLE_BITS = 4, 19
 RIDGE, SHARPNESS, SWITCH = 1e-2, 6.0, 2.0
 SEGMENT = "doc_id bigint, lang string, segment_no int, language string, confidence double, start int, stop int, segments int"
 MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -157,7 +158,8 @@ class KernelModel:
             other = other[at[other] >= 0]
             other = other[self.vocabulary[at[other]] != keys[other]]
         ok = at >= 0
-        pair = np.sort(owner[ok].astype(np.int64) * len(self.vocabulary) + at[ok])
+        kind = np.int32 if len(self.vocabulary) * (int(owner.max(initial=0)) + 1) < 2**31 else np.int64
+        pair = np.sort(owner[ok].astype(kind) * kind(len(self.vocabulary)) + at[ok].astype(kind))
         first = np.ones(len(pair), bool)
         first[1:] = pair[1:] != pair[:-1]
         pair = pair[first]
@@ -240,19 +242,20 @@ def segment_units(units: list[tuple[int, int, str, bool]], logp: np.ndarray) ->
     """
     counted = [i for i, u in enumerate(units) if u[3]]
     n, classes = logp.shape
-    best, back = logp[0].copy(), np.zeros((n, classes), int)
-    for k in range(1, n):
-        top = int(best.argmax())
+    rows, each, back = logp.tolist(), range(classes), []
+    best = rows[0]
+    for row in rows[1:]:
+        top = max(each, key=best.__getitem__)
         change = best[top] - SWITCH
-        back[k] = np.where(best >= change, np.arange(classes), top)
-        best = np.maximum(best, change) + logp[k]
-    path = [int(best.argmax())]
-    for k in range(n - 1, 0, -1):
-        path.append(int(back[k, path[-1]]))
+        back.append([c if best[c] >= change else top for c in each])
+        best = [(v if v >= change else change) + w for v, w in zip(best, row, strict=True)]
+    path = [max(each, key=best.__getitem__)]
+    for step in reversed(back):
+        path.append(step[path[-1]])
     path.reverse()
     out: list[list] = []
     for k, i in enumerate(counted):
-        p = float(np.exp(logp[k, path[k]]))
+        p = math.exp(rows[k][path[k]])
         if out and out[-1][2] == path[k]:
             out[-1][1] = units[i][1]
             out[-1][3].append(p)
@@ -261,7 +264,7 @@ def segment_units(units: list[tuple[int, int, str, bool]], logp: np.ndarray) ->
     out[-1][1] = units[-1][1]
     for a, b in zip(out[:-1], out[1:], strict=True):
         a[1] = b[0]
-    return [(s, e, c, float(np.mean(p))) for s, e, c, p in out]
+    return [(s, e, c, sum(p) / len(p)) for s, e, c, p in out]
 
 
 def document_segments(documents: DataFrame, model: KernelModel | None = None) -> DataFrame:
