@@ -46,6 +46,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     spark.sparkContext.setCheckpointDir(named)
 
 
+def scratch_path(spark: SparkSession, kind: str) -> str:
+    """A new path in the shared checkpoint folder, removed when Python ends."""
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/{kind}-{uuid.uuid4().hex}"
+    _written.append((spark, path))
+    return path
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a table in the shared checkpoint folder and read it back from there.
 
@@ -53,10 +61,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     table's size. The folder belongs to the application and goes when Python ends.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "table")
     df.write.parquet(path)
-    _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
