@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +21,7 @@ from pyspark.sql import functions as F
 
 from kinelake.llm.families import connected_components
 from kinelake.llm.small_world import SmallWorld
-from kinelake.session import change_points, column, cut_lineage, ensure_checkpoint_dir, padded, vectors, whole_groups
+from kinelake.session import change_points, column, cut_lineage, padded, scratch_path, vectors, whole_groups
 
 #: Share of the longer episode's frames that must reappear, and the tolerance as a share of the joint limit.
 SHARE, TOLERANCE = 0.8, 0.001
@@ -463,8 +462,7 @@ def replayed_batch(steps: DataFrame, episodes: DataFrame, sources: DataFrame) ->
     limits = listed.select("episode_key", "joint_limit")
     points = cut_lineage(episode_sketches(steps, limits).join(listed, "episode_key"))
     last = listed.where(F.col("batch_no") < NO_BATCH).agg(F.max("batch_no")).head()[0] or 0
-    ensure_checkpoint_dir(spark)
-    index = HistoryIndex(spark, f"{spark.sparkContext.getCheckpointDir()}/history-{uuid.uuid4().hex}")
+    index = HistoryIndex(spark, scratch_path(spark, "history"))
     for low, high in ((None, last // 3), (last // 3, last * 2 // 3)):
         index.add(points.where(F.col("batch_no") <= high) if low is None else points.where((F.col("batch_no") > low) & (F.col("batch_no") <= high)))
     new = points.where(F.col("batch_no") > last * 2 // 3)
